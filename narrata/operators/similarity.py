@@ -16,7 +16,7 @@ from narrata.session import small_rows, stage
 
 def unit_vectors(vectors: DataFrame, id: str, term: str = "term", w: str = "w") -> DataFrame:
     norm = F.sqrt(F.sum(F.col(w) * F.col(w)).over(Window.partitionBy(id)))
-    return vectors.withColumn(w, F.col(w) / norm).filter(norm > 0)
+    return vectors.withColumn("_n", norm).filter("_n > 0").withColumn(w, F.col(w) / F.col("_n")).drop("_n")
 
 
 def dense_to_long(df: DataFrame, id: str, array: str) -> DataFrame:

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from narrata.plans import queries_text  # noqa: F401
+from narrata.plans import queries_features, queries_text  # noqa: F401
 from narrata.plans.registry import QUERIES, TWINS  # noqa: F401

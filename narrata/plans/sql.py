@@ -78,39 +78,31 @@ def word_count(t: str) -> str:
     return f"len(regexp_extract_all({blanks(t)}, '\\S+'))"
 
 
-def grams(c: str, analyzer: str, low: int, high: int) -> str:
-    """List of terms of a text."""
-    if analyzer == "word":
-        t = f"regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}_]{{2,}}')"
-        parts = []
-        for n in range(low, high + 1):
-            if n == 1:
-                parts.append(t)
-            else:
-                joined = " || ' ' || ".join(f"{t}[i + {j}]" if j else f"{t}[i]" for j in range(n))
-                parts.append(f"list_transform(range(1, greatest(len({t}) - {n - 2}, 1)), lambda i: {joined})")
-        out = parts[0]
-        for p in parts[1:]:
-            out = f"list_concat({out}, {p})"
-        return out
-    if analyzer == "char":
-        out = None
-        for n in range(low, high + 1):
-            p = f"list_transform(range(1, greatest(length({c}) - {n - 2}, 1)), lambda i: substring({c}, i, {n}))"
-            out = p if out is None else f"list_concat({out}, {p})"
-        return out
-    raise ValueError(analyzer)
+def _runs(low: int, high: int, sep: str) -> str:
+    """Lists of neighbours in the list column ``t``."""
+    out = None
+    for n in range(low, high + 1):
+        joined = f" || '{sep}' || ".join(f"t[i + {j}]" if j else "t[i]" for j in range(n))
+        p = "t" if n == 1 else f"list_transform(range(1, greatest(len(t) - {n - 2}, 1)), lambda i: {joined})"
+        out = p if out is None else f"list_concat({out}, {p})"
+    return out
 
 
 def term_counts(src: str, analyzer: str, low: int, high: int, keys: str = "doc_id") -> str:
     """Body of a CTE with (keys, term, tf) from ``src`` (keys, c)."""
-    if analyzer == "char_wb":
-        padded = "' ' || w || ' '"
-        return (f"SELECT {keys}, term, count(*) AS tf FROM (SELECT {keys}, unnest(CASE WHEN length(w) + 2 < {low} "
-                f"THEN [{padded}] ELSE {grams('(' + padded + ')', 'char', low, high)} END) AS term FROM "
-                f"(SELECT {keys}, unnest(string_split(c, ' ')) AS w FROM {src}) WHERE w <> '') GROUP BY ALL")
-    return (f"SELECT {keys}, term, count(*) AS tf FROM (SELECT {keys}, unnest({grams('c', analyzer, low, high)}) AS term "
-            f"FROM {src}) GROUP BY ALL")
+    if analyzer == "word":
+        lists = f"SELECT {keys}, regexp_extract_all(c, '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM {src}"
+        terms = _runs(low, high, " ")
+    elif analyzer == "char":
+        lists = f"SELECT {keys}, regexp_extract_all(c, '.') AS t FROM {src}"
+        terms = _runs(low, high, "")
+    elif analyzer == "char_wb":
+        lists = (f"SELECT {keys}, regexp_extract_all(' ' || w || ' ', '.') AS t FROM "
+                 f"(SELECT {keys}, unnest(string_split(c, ' ')) AS w FROM {src}) WHERE w <> ''")
+        terms = f"CASE WHEN len(t) < {low} THEN [array_to_string(t, '')] ELSE {_runs(low, high, '')} END"
+    else:
+        raise ValueError(analyzer)
+    return f"SELECT {keys}, term, count(*) AS tf FROM (SELECT {keys}, unnest({terms}) AS term FROM ({lists})) GROUP BY ALL"
 
 
 def vocabulary(tf: str, n_docs: str, min_df: int, max_df: float, max_features: int | None = None) -> str:

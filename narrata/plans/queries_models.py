@@ -245,7 +245,7 @@ def _knn(group: str, k: int = 15) -> str:
             "qp AS (SELECT grp, qd, (SELECT count(*) FROM tr WHERE tr.grp = qd.grp AND tr.day < qd.qd) AS p FROM qd), "
             f"cand AS (SELECT qp.grp, qp.qd, tr.l FROM qp JOIN tr ON tr.grp = qp.grp AND tr.pos >= p - {k} AND tr.pos < p + {k} "
             f"QUALIFY row_number() OVER (PARTITION BY qp.grp, qp.qd ORDER BY abs(tr.day - qp.qd), tr.pos) <= {k}), "
-            "votes AS (SELECT grp, qd, l AS vote FROM cand GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY grp, qd ORDER BY count(*) DESC, l) = 1)")
+            "votes AS (SELECT grp, qd, l AS vote FROM (SELECT grp, qd, l, count(*) AS n FROM cand GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY grp, qd ORDER BY n DESC, l) = 1)")
 
 
 def _votes(spark, sf_dir, group):

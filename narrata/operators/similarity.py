@@ -83,18 +83,26 @@ def pack(weights: DataFrame, term_ids: DataFrame, id: str, carry=()) -> DataFram
     return packed.select(id, *carry, F.col("_c.term_id").alias("ids"), F.col("_c.w").alias("ws"))
 
 
+def vector_keys(weights: DataFrame, id: str, carry=()) -> DataFrame:
+    """Staged ``(id, *carry, vec)``: documents with the same vector have the same ``vec``."""
+    cells = F.array_sort(F.collect_list(F.struct("term", F.round("w", 12).alias("r"))))
+    return stage(weights.groupBy(id, *carry).agg(F.sha2(F.to_json(cells), 256).alias("vec")))
+
+
+def one_per_vector(weights: DataFrame, keys: DataFrame, id: str) -> DataFrame:
+    """``(id, vec, term, w)`` of the first document of every vector."""
+    first = stage(keys.groupBy("vec").agg(F.min(id).alias(id)))
+    return weights.select(id, "term", "w").join(first, id)
+
+
 def collapse_copies(weights: DataFrame, id: str, label: str) -> tuple[DataFrame, DataFrame]:
     """Documents with the same vector become one; returns (vectors of one copy each, label counts).
 
     A group of copies is then one vector with counts, however many rows it holds.
     """
-    cells = F.array_sort(F.collect_list(F.struct("term", F.round("w", 12).alias("r"))))
-    keys = weights.groupBy(id, label).agg(F.sha2(F.to_json(cells), 256).alias("vec"))
-    keys = stage(keys)
+    keys = vector_keys(weights, id, (label,))
     counts = keys.groupBy("vec", label).agg(F.count("*").alias("m"))
-    first = keys.groupBy("vec").agg(F.min(id).alias(id))
-    vectors = weights.drop(label).join(first, id)
-    return vectors, counts
+    return one_per_vector(weights, keys, id), counts
 
 
 def packed_dot():
@@ -169,12 +177,44 @@ def near_label_pairs(pairs: DataFrame, vectors: DataFrame, counts: DataFrame, id
         F.sum("p").alias("pairs")).filter("pairs > 0")
 
 
-def nearest(queries: DataFrame, corpus: DataFrame, query_id: str, doc_id: str) -> DataFrame:
-    """Best match per query (ties: lowest id) as ``(query_id, nn_id, nn_sim)``; partial maxima per task."""
-    scores = cosine_pairs(queries, corpus, query_id, doc_id)
-    best = scores.groupBy(query_id).agg(F.min(F.struct(
+def nearest(queries: DataFrame, corpus: DataFrame, vocabulary: DataFrame, query_id: str, doc_id: str,
+            seeds: int = 4, slack: float = 0.5) -> DataFrame:
+    """Best match per query (ties: lowest id) as ``(query_id, nn_id, nn_sim)``. Exact.
+
+    Copies are searched once. The rarest terms of a query propose two records, whose true score s
+    is a lower bound. Rare terms are then taken until the norm of the rest falls below slack * s:
+    a record that shares none of them scores below s. What shares some is kept only if the shared
+    weight plus the most the rest can add reaches s, and is then scored in full. So the frequent
+    terms, which would pair almost everything with everything, mostly never enter the join.
+    """
+    q_keys, c_keys = vector_keys(queries, query_id), vector_keys(corpus, doc_id)
+    terms = vocabulary.select("term", "term_id", "df")
+    q = one_per_vector(queries, q_keys, query_id).withColumnRenamed("vec", "q")
+    c = stage(one_per_vector(corpus, c_keys, doc_id).select(doc_id, "term", F.col("w").alias("_wc")))
+    rare_first = Window.partitionBy("q").orderBy("df", "term_id")
+    mass = F.coalesce(F.sum(F.col("w") * F.col("w")).over(rare_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    q = stage(q.join(terms, "term").select("q", "term", "term_id", "w", F.row_number().over(rare_first).alias("_n"), mass.alias("_before")))
+    q_pack = stage(pack(q.select("q", "term", "w"), vocabulary, "q").toDF("q", "a_ids", "a_ws"))
+    c_pack = stage(pack(c.withColumnRenamed("_wc", "w"), vocabulary, doc_id).toDF(doc_id, "b_ids", "b_ws"))
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        both = pairs.select("q", doc_id).join(q_pack, "q").join(c_pack, doc_id)
+        return both.select("q", doc_id, packed_dot()("a_ids", "a_ws", "b_ids", "b_ws").alias("score"))
+
+    guess = q.filter(F.col("_n") <= seeds).join(c, "term").groupBy("q", doc_id).agg(F.sum(F.col("w") * F.col("_wc")).alias("acc"))
+    guess = first_per_key(guess, ["q"], [F.desc("acc"), F.asc(doc_id)], 2)
+    bound = stage(scored(guess).groupBy("q").agg(F.max("score").alias("s")))
+    known = q.join(bound, "q", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
+    prefix = stage(known.filter(F.sqrt(F.greatest(1.0 - F.col("_before"), F.lit(0.0))) >= slack * F.col("s")))
+    rest = prefix.groupBy("q").agg(F.max("s").alias("s"), F.sqrt(F.greatest(1.0 - F.sum(F.col("w") * F.col("w")), F.lit(0.0))).alias("tail"))
+    pairs = prefix.select("q", "term", "w").join(c, "term").groupBy("q", doc_id).agg(
+        F.sum(F.col("w") * F.col("_wc")).alias("acc"), F.sum(F.col("_wc") * F.col("_wc")).alias("sc"))
+    room = F.col("tail") * F.sqrt(F.greatest(1.0 - F.col("sc"), F.lit(0.0)))
+    kept = pairs.join(rest, "q").filter(F.col("acc") + room >= F.col("s") - 1e-9)
+    best = scored(kept).groupBy("q").agg(F.min(F.struct(
         (-F.round("score", 9)).alias("o"), F.col(doc_id).alias("i"), F.col("score").alias("s"))).alias("x"))
-    return best.select(query_id, F.col("x.i").alias("nn_id"), F.col("x.s").alias("nn_sim"))
+    return q_keys.withColumnRenamed("vec", "q").join(best, "q").select(
+        query_id, F.col("x.i").alias("nn_id"), F.least(F.greatest("x.s", F.lit(0.0)), F.lit(1.0)).alias("nn_sim"))
 
 
 BIN_EDGES = (0.0, 0.5, 0.7, 0.8, 0.9, 0.95, 1.0001)  # fixed values

@@ -20,7 +20,9 @@ _D = f"docs AS (SELECT doc_id, source, lang, {S.processed('text')} AS c FROM doc
 
 
 def processed(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", T.preprocess("text").alias("text"))
+    """Cleaned documents, staged once: fitting, transforming and splitting all read this table."""
+    return shared(spark, sf_dir, "processed", lambda: stage(
+        table(spark, sf_dir, "documents").select("doc_id", "source", "lang", T.preprocess("text").alias("text"))))
 
 
 def vocabulary(spark, sf_dir, block: V.Block):
@@ -300,7 +302,7 @@ def train_neighbours(spark, sf_dir):
         voc = V.fit_vocabulary(train, V.WORD_BIGRAMS)
         corpus = V.transform(train, voc, V.WORD_BIGRAMS)
         q = stage(V.transform(val, voc, V.WORD_BIGRAMS).select(F.col("doc_id").alias("query_id"), "term", "w"))
-        return stage(SIM.nearest(q, corpus, "query_id", "doc_id").withColumnRenamed("query_id", "doc_id"))
+        return stage(SIM.nearest(q, stage(corpus), voc, "query_id", "doc_id").withColumnRenamed("query_id", "doc_id"))
 
     return shared(spark, sf_dir, "train_neighbours", build)
 

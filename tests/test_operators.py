@@ -212,6 +212,33 @@ def test_near_pairs_against_brute_force(spark, threshold):
     assert got == want and sum(got.values()) > 60
 
 
+def test_nearest_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(80)]
+    share = 1 / np.arange(1, 81)
+    texts = [" ".join(rng.choice(words, int(rng.integers(3, 15)), p=share / share.sum())) for _ in range(150)]
+    texts += [texts[0]] * 10 + [texts[5] + " w3"] * 5
+    d = docs(spark, texts)
+    block = V.Block("word", (1, 2), min_df=2, max_df=0.95, sublinear_tf=True)
+    v, w = V.fit_transform(d.filter("doc_id < 120"), block)
+    q = V.transform(d.filter("doc_id >= 120").withColumnRenamed("doc_id", "qid"), v, block, id="qid")
+    got = {r["qid"]: (r["nn_id"], round(r["nn_sim"], 9)) for r in SIM.nearest(q, w, v, "qid", "doc_id").collect()}
+    vecs: dict = {}
+    for r in w.collect():
+        vecs.setdefault(r["doc_id"], {})[r["term"]] = r["w"]
+    asked: dict = {}
+    for r in q.collect():
+        asked.setdefault(r["qid"], {})[r["term"]] = r["w"]
+    want = {}
+    for i, x in asked.items():
+        o, j = min((-round(sum(a * y.get(t, 0.0) for t, a in x.items()), 9), j) for j, y in vecs.items())
+        if o < 0:
+            want[i] = (j, -o)
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i][1] == pytest.approx(want[i][1], abs=2e-9) and got[i][0] == want[i][0]
+
+
 # ---- models ----
 
 

@@ -445,8 +445,10 @@ def fixed_errors(spark, sf_dir):
 
 
 def _sibling_sql(cells):
-    return (f"SELECT sum(n)::BIGINT AS errors, sum(n) FILTER (s)::BIGINT AS sibling_errors, sum(n) FILTER (NOT s)::BIGINT AS cross_errors, round(sum(n) FILTER (s) * 100.0::DOUBLE / sum(n), 6) AS sibling_pct, "
-            f"round(sum(n) FILTER (NOT s) * 100.0::DOUBLE / sum(n), 6) AS cross_pct FROM (SELECT n, x.normalized_category = y.normalized_category AS s FROM {cells} JOIN m x ON x.category = y_true JOIN m y ON y.category = y_pred WHERE y_true <> y_pred)")
+    # a sum over no rows counts as 0
+    same, cross = "coalesce(sum(n) FILTER (s), 0)", "coalesce(sum(n) FILTER (NOT s), 0)"
+    return (f"SELECT sum(n)::BIGINT AS errors, {same}::BIGINT AS sibling_errors, {cross}::BIGINT AS cross_errors, round({same} * 100.0::DOUBLE / sum(n), 6) AS sibling_pct, "
+            f"round({cross} * 100.0::DOUBLE / sum(n), 6) AS cross_pct FROM (SELECT n, x.normalized_category = y.normalized_category AS s FROM {cells} JOIN m x ON x.category = y_true JOIN m y ON y.category = y_pred WHERE y_true <> y_pred)")
 
 
 @query("sibling_errors", f"{_AB} SELECT 'a' AS model, * FROM ({_sibling_sql('ma_cells')}) UNION ALL SELECT 'b', * FROM ({_sibling_sql('mb__cells')})")

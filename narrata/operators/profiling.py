@@ -65,7 +65,7 @@ def duplicate_groups(df: DataFrame, cleaned: str, label: str) -> DataFrame:
     return per_label.groupBy("digest").agg(F.sum("n").alias("size"), F.array_sort(F.collect_list("l")).alias("labels")).filter("size > 1")
 
 
-def duplicate_summary(groups: DataFrame, grouped_labels: DataFrame | None = None) -> DataFrame:
+def duplicate_summary(groups: DataFrame) -> DataFrame:
     conflict = F.size("labels") > 1
     return groups.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("rows_in_groups"), F.count("*").alias("groups"),
                       F.count_if(conflict).alias("label_conflict_groups"))

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
-from narrata.functions import dates as D
 from narrata.functions import text as T
 from narrata.operators import bayes as B
 from narrata.operators import errors as E

@@ -3,7 +3,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from narrata.functions.text import preprocess
 from narrata.operators import profiling as P
 from narrata.operators.tfidf import WORD_UNIGRAMS, FeatureSpec
 from narrata.sources import artifacts as A

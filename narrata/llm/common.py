@@ -60,7 +60,7 @@ class RangeHash:
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.words = rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(2**61, 2**62)) * 8 + 5
+        self.base = int(rng.integers(2**59, 2**60)) * 8 + 5
         self.inverse = pow(self.base, -1, 2**64)
         self.powers = self.inverses = np.ones(1, np.uint64)
 
@@ -68,8 +68,8 @@ class RangeHash:
         n = len(data) + 1
         if len(self.powers) < n:
             size = max(n, 1 << 16)
-            self.powers = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, self.base, np.uint64)])
-            self.inverses = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, self.inverse, np.uint64)])
+            self.powers = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, np.uint64(self.base))])
+            self.inverses = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, np.uint64(self.inverse))])
         sums = np.zeros(n, np.uint64)
         terms = self.words[data]
         terms *= self.powers[: n - 1]

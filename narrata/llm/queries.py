@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm import archive, quality, token_files, urls
+from narrata.llm import archive, decontaminate, pieces, quality, token_files, urls
 from narrata.llm.common import table
 from narrata.llm.sql import TWINS  # noqa: F401
 from narrata.session import staging_root
@@ -49,3 +49,16 @@ def op4_quality(spark, sf_dir):
 @query
 def op8_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
+@query
+def op5_pieces(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op10_decontaminate(spark, sf_dir):
+    found = decontaminate.screen(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

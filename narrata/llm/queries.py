@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm import archive, decontaminate, pieces, quality, token_files, urls
+from narrata.llm import archive, decontaminate, language, pieces, quality, token_files, urls
 from narrata.llm.common import table
 from narrata.llm.sql import TWINS  # noqa: F401
 from narrata.session import staging_root
@@ -62,3 +62,11 @@ def op10_decontaminate(spark, sf_dir):
     names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op7_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    languages, model = language.fit(docs)
+    found = language.identify(docs.select("doc_id", "text"), languages, model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

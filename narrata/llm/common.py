@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from narrata.session import stage  # noqa: F401
 
@@ -80,6 +79,42 @@ class RangeHash:
         return (sums[stop] - sums[start]) * self.inverses[start]
 
 
-def rows_of(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns; other columns, clashing names included, stay behind."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+_words = RangeHash(2024)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, words per text) for texts that lie one after another.
+
+    A word is a run of bytes for which ``parts`` (by byte value) is false; it is hashed as ``fold`` maps its bytes.
+    """
+    inside = ~parts[data]
+    opening, closing = inside.copy(), inside.copy()
+    opening[1:] &= ~inside[:-1]
+    closing[:-1] &= ~inside[1:]
+    full = offsets[:-1] < offsets[1:]
+    heads, tails = offsets[:-1][full], offsets[1:][full] - 1
+    opening[heads], closing[tails] = inside[heads], inside[tails]
+    begin, end = np.flatnonzero(opening), np.flatnonzero(closing) + 1
+    return mixed(_words.of(_words.prepare(fold[data]), begin, end)), np.diff(np.searchsorted(begin, offsets))
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches in which rows of a key stand together; keys are integer columns."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        starts = np.flatnonzero(new).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrata.llm.common import RangeHash, mixed, pieces, utf8
+from narrata.llm.common import mixed, pieces, utf8, word_hashes
 
 WINDOW = 10
 #: Bytes of text of a shard, of text hashed at once, and of benchmark text in a block.
@@ -35,28 +35,12 @@ for low, high in ((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)):
     FOLD[low:high + 1] = 0
 FOLD[0x41:0x5B] += 32
 
-_hash = RangeHash(2024)
-
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, words per text) for texts that lie one after another."""
-    folded = FOLD[data]
-    inside = folded != 0
-    starts = np.empty(len(data) + 1, bool)
-    starts[:-1] = inside
-    starts[-1] = False
-    opening = starts[:-1].copy()
-    opening[1:] &= ~inside[:-1]
-    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-    opening[heads] = inside[heads]
-    closing = inside.copy()
-    closing[:-1] &= ~inside[1:]
-    tails = offsets[1:][offsets[:-1] < offsets[1:]] - 1
-    closing[tails] = inside[tails]
-    begin, end = np.flatnonzero(opening), np.flatnonzero(closing) + 1
-    hashes = mixed(_hash.of(_hash.prepare(folded), begin, end))
-    hashes[hashes == 0] = 1  # 0 stands for the end of a document
-    return hashes, np.diff(np.searchsorted(begin, offsets))
+    """(hash of each word, words per text); 0 is no word's hash and stands for the end of a document."""
+    hashes, counts = word_hashes(data, offsets, FOLD == 0, FOLD)
+    hashes[hashes == 0] = 1
+    return hashes, counts
 
 
 class Queries:

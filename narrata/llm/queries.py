@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm import archive, decontaminate, language, pieces, quality, token_files, urls
+from narrata.llm import archive, decontaminate, language, minhash, pieces, quality, token_files, urls
 from narrata.llm.common import table
 from narrata.llm.sql import TWINS  # noqa: F401
 from narrata.session import staging_root
@@ -70,3 +70,8 @@ def op7_language(spark, sf_dir):
     languages, model = language.fit(docs)
     found = language.identify(docs.select("doc_id", "text"), languages, model)
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_near_duplicates(spark, sf_dir):
+    return minhash.groups(table(spark, sf_dir, "documents"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm import archive, decontaminate, language, minhash, pieces, quality, repeats, token_files, urls
+from narrata.llm import archive, decontaminate, html_text, language, minhash, pieces, quality, repeats, token_files, urls
 from narrata.llm.common import table
 from narrata.llm.sql import TWINS  # noqa: F401
 from narrata.session import staging_root
@@ -80,3 +80,8 @@ def op9_near_duplicates(spark, sf_dir):
 @query
 def op6_repeats(spark, sf_dir):
     return repeats.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_html_text(spark, sf_dir):
+    return html_text.texts(table(spark, sf_dir, "pages"))

@@ -88,3 +88,11 @@ def identify(docs: DataFrame, languages: list[str], model: dict | None, text: st
     found = docs.mapInArrow(run, schema) if model else docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     letters = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
     return found.withColumns({"lang_pred": F.when(letters, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(letters, F.col("score")).otherwise(0.0)})
+
+
+def accepted(docs: DataFrame, languages: list[str], model: dict | None, least: float = 0.35, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known with a pooled probability of ``least`` at least; all columns stay."""
+    names = docs.columns
+    aside = docs.select(*[F.col(f"`{n}`").alias(f"_{i}") for i, n in enumerate(names)])
+    found = identify(aside, languages, model, f"_{names.index(text)}").filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])

@@ -239,3 +239,9 @@ def groups(docs: DataFrame, size: int = 4, threshold: int = 80, id: str = "doc_i
     out = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(named, ["d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def remove(docs: DataFrame, size: int = 5, threshold: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each group, that of the smallest id."""
+    gone = groups(docs, size, threshold, id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col(f"`{id}`") == F.col("_gone"), "left_anti")

@@ -50,6 +50,22 @@ def encode(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text")
     return _map(docs, model, id, text, "ids array<int>, begins array<long>, ends array<long>", columns)
 
 
+def tokens(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, exact): the ids of each text, and whether they decode to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", TEXT_BYTES):
+            encoder = _encoder(model)
+            texts = batch.column("text").fill_null("").to_pylist()
+            found = [f.ids for f in encoder.encode(texts)]
+            exact = [encoder.decode(i.tolist()) == t for i, t in zip(found, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array([len(i) for i in found], pa.int64()), pa.array(found, pa.list_(pa.int32())), pa.array(exact, pa.bool_())], ["doc_id", "n_tokens", "ids", "exact"])
+
+    rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, exact boolean")
+
+
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """The rows with ``decoded``, the text of their ids."""
 

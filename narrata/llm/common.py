@@ -9,7 +9,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from narrata.session import stage  # noqa: F401
+from narrata import session
+
+#: Spark then deletes the shuffle files of a query when the query has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back; its shuffle files, of no more use then, go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        return session.stage(df)
+    finally:
+        conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

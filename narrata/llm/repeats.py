@@ -13,8 +13,9 @@ document) is removed, exactly, in six steps that are each a scan or one shuffle:
 3. Dictionary. What is left are the first occurrences of distinct hulls that share a core: the dictionary entries
    whose suffixes have to be compared. Their bytes are fetched from the texts.
 4. Suffix arrays. Entries are dealt by core and sorted shard by shard: the suffix array of all their windows. Equal
-   neighbours form classes, whose members in corpus order are a first one and repeats.
-5. The first ones of all shards meet by a 128-bit fingerprint, as in step 2, so that no shard needs a bound on a core.
+   neighbours form classes, whose members in corpus order are a first one and repeats. A shard holds whole cores.
+5. Only a core with more than ``SHARD`` entries is spread over shards; the first ones of its classes meet by a 128-bit
+   fingerprint, as in step 2.
 6. Repeats are gathered by document and cut from its text.
 
 Only the phrases (one for some 29 bytes), the dictionary and the repeats are shuffled, and each text twice. A group of
@@ -157,33 +158,55 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([core.filter(pa.array(fits)), pa.array(batch.column("doc_id").to_numpy()[owner][fits]), pa.array(at[fits]), pa.array(bodies, pa.binary())], ["core", "doc_id", "at", "data"])
 
 
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(entries, whether the entry's core also has entries in another shard), from entries in the order of their cores.
+
+    A shard ends between two cores, so that it holds all entries of its cores, unless one core fills it alone.
+    """
+    held: pa.Table | None = None
+    split = None  # the core of which an earlier shard had a part
+    for batch in batches:
+        held = pa.concat_tables([held, pa.Table.from_batches([batch])]) if held is not None else pa.Table.from_batches([batch])
+        while held.num_rows > SHARD:
+            core = held.column("core").to_numpy()
+            ends = np.flatnonzero(core[1:SHARD + 1] != core[:SHARD]) + 1
+            cut = int(ends[-1]) if len(ends) else SHARD
+            if not len(ends):
+                split = core[0]
+            yield held.slice(0, cut), np.full(cut, split is not None) & (core[:cut] == split)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held, np.full(held.num_rows, split is not None) & (held.column("core").to_numpy() == split)
+
+
 def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays of dictionary shards: (core, hull, doc_id, at) of each window that is the first of its class in the
-    shard, where core and hull are now two fingerprints of the window, and (null, null, doc_id, at) of the repeats."""
-    for whole in batches:
-        for start in range(0, whole.num_rows, SHARD):
-            batch = whole.slice(start, SHARD)
-            data = np.frombuffer(b"".join(batch.column("data").to_pylist()) + bytes(8), np.uint8)
-            doc, at = batch.column("doc_id").to_numpy(), batch.column("at").to_numpy()
-            count = at & 127
-            length = count - 1 + SIZE
-            base = np.cumsum(length) - length
-            owner = np.repeat(np.arange(len(count)), count)
-            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            begin, place = base[owner] + step, (at >> 7)[owner] + step
-            words = np.lib.stride_tricks.sliding_window_view(data, 8)
-            keys = [np.ascontiguousarray(words[begin + o]).view(">u8").ravel() for o in [*range(0, SIZE - 8, 8), SIZE - 8]]
-            order = np.lexsort((place, doc[owner], *keys[::-1]))
-            new = np.ones(len(order), bool)
-            new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
-            window, where, whose = begin[order], place[order], doc[owner][order]
-            head = np.flatnonzero(new)[np.cumsum(new) - 1]
-            repeat = (whose != whose[head]) | (where != where[head])
+    """Suffix arrays of dictionary shards: (null, null, doc_id, at) of each window that repeats an earlier one of the
+    shard; and of cores with entries in several shards (core, hull, doc_id, at) of the first of each class, where core
+    and hull are now two fingerprints of the window."""
+    for shard, spread in shards(batches):
+        data = np.frombuffer(b"".join(shard.column("data").to_pylist()) + bytes(8), np.uint8)
+        doc, at = shard.column("doc_id").to_numpy(), shard.column("at").to_numpy()
+        count = at & 127
+        length = count - 1 + SIZE
+        base = np.cumsum(length) - length
+        owner = np.repeat(np.arange(len(count)), count)
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        begin, place = base[owner] + step, (at >> 7)[owner] + step
+        words = np.lib.stride_tricks.sliding_window_view(data, 8)
+        keys = [np.ascontiguousarray(words[begin + o]).view(">u8").ravel().astype(np.uint64) for o in [*range(0, SIZE - 8, 8), SIZE - 8]]
+        order = np.lexsort((place, doc[owner], *keys[::-1]))
+        new = np.ones(len(order), bool)
+        new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+        window, where, whose = begin[order], place[order], doc[owner][order]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        repeat = (whose != whose[head]) | (where != where[head])
+        pick = repeat | (new & spread[owner][order])
+        if pick.any():
             one, two = _one.prepare(data), _two.prepare(data)
-            first = _one.of(one, window, window + SIZE).view(np.int64), _two.of(two, window, window + SIZE).view(np.int64)
-            pick = new | repeat
+            chosen, mask = window[pick], repeat[pick]
             yield pa.RecordBatch.from_arrays([
-                pa.array(first[0][pick], mask=repeat[pick]), pa.array(first[1][pick], mask=repeat[pick]), pa.array(whose[pick]), pa.array(where[pick] << 7 | 1)], ["core", "hull", "doc_id", "at"])
+                pa.array(_one.of(one, chosen, chosen + SIZE).view(np.int64), mask=mask), pa.array(_two.of(two, chosen, chosen + SIZE).view(np.int64), mask=mask),
+                pa.array(whose[pick]), pa.array(where[pick] << 7 | 1)], ["core", "hull", "doc_id", "at"])
 
 
 def sifted(rows: DataFrame) -> DataFrame:

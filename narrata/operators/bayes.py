@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from narrata.operators.tfidf import Block, fit_vocabulary, transform
 from narrata.session import small_rows, stage
 
-MAX_CLASSES = 1000
-
 
 @dataclass
 class BayesModel:
@@ -24,7 +22,7 @@ class BayesModel:
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    rows = small_rows(df.groupBy(label).agg(F.count("*").alias("n")), MAX_CLASSES)
+    rows = small_rows(df.groupBy(label).agg(F.count("*").alias("n")))
     return {r[label]: r["n"] for r in sorted(rows, key=lambda r: str(r[label]))}
 
 

@@ -216,9 +216,11 @@ def taxonomy_audit(distribution: DataFrame, primary: DataFrame) -> DataFrame:
         F.coalesce("primary_confusion_count", F.lit(0)).alias("primary_confusion_count"))
 
 
-def lexical_overlap(texts: DataFrame, pairs: DataFrame, id: str, label: str, per_class: int = 200, terms: int = 20) -> DataFrame:
-    """Frequent long tokens that the two classes of each confusion pair share."""
-    sample = first_per_key(texts.select(id, label, "text"), [label], [F.asc(id)], per_class)
+def lexical_overlap(texts: DataFrame, pairs: DataFrame, id: str, label: str, per_class: int | None = None, terms: int = 20) -> DataFrame:
+    """Frequent long tokens that the two classes of each confusion pair share; of all texts, or the first of a class."""
+    sample = texts.select(id, label, "text")
+    if per_class is not None:
+        sample = first_per_key(sample, [label], [F.asc(id)], per_class)
     words = sample.select(F.col(label).alias("c"), F.explode(F.split(F.lower("text"), r"[\s\x1c-\x1f\x85\p{Z}]+")).alias("tok"))
     counts = words.filter(F.length("tok") > 3).groupBy("c", "tok").agg(F.count("*").alias("n"))
     best = first_per_key(counts, ["c"], [F.desc("n"), F.asc("tok")], terms)
@@ -272,9 +274,8 @@ def comparison_table(summaries: dict[str, DataFrame], metrics=("accuracy", "macr
 
 
 def as_percent(value) -> Column:
-    """A number, a share or text such as '69.82%' on the 0-100 scale."""
-    number = F.try_cast(F.rtrim(F.trim(value.cast("string")), F.lit("%")), "double") if hasattr(F, "try_cast") else \
-        F.regexp_replace(value.cast("string"), "%+$", "").try_cast("double")
+    """A number, a share or text such as '69.82%' on the 0-100 scale; by rule anything up to 1 is a share, '0.8%' too."""
+    number = F.regexp_replace(F.trim(value.cast("string")), "%+$", "").try_cast("double")
     return F.when(number <= 1.0, number * 100).otherwise(number)
 
 

@@ -60,8 +60,9 @@ def duplicate_counts(df: DataFrame, id: str, text: str) -> DataFrame:
 def duplicate_groups(df: DataFrame, cleaned: str, label: str) -> DataFrame:
     """Groups of equal cleaned texts ``(digest, size, labels)``; counted per label first, so that a
     group of any size stays small."""
-    per_label = df.filter(F.col(cleaned) != "").groupBy(F.sha2(cleaned, 256).alias("digest"), F.col(label).alias("l")).agg(
-        F.count("*").alias("n"))
+    # empty texts go after the count: a filter on the cleaned text would move below the cleaning and run it again
+    per_label = df.groupBy(F.sha2(cleaned, 256).alias("digest"), F.col(label).alias("l")).agg(
+        F.count("*").alias("n"), F.max(F.length(cleaned)).alias("size")).filter("size > 0").drop("size")
     return per_label.groupBy("digest").agg(F.sum("n").alias("size"), F.array_sort(F.collect_list("l")).alias("labels")).filter("size > 1")
 
 

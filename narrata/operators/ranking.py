@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from narrata.session import DRIVER_ROWS, small_rows
+from narrata.session import small_rows
 
 _BUCKETS = 1024
 
@@ -59,11 +59,11 @@ def order_statistics(df: DataFrame, group: str, value: str, positions: dict) ->
             .when(F.col("v") == F.col("hi"), _BUCKETS + 1)
             .otherwise(1 + F.least(F.floor(share * _BUCKETS), F.lit(_BUCKETS - 1)))
         )
-        hits = df.join(F.broadcast(local), (F.col("g") == F.col("sg")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        hits = df.join(local, (F.col("g") == F.col("sg")) & F.col("v").between(F.col("lo"), F.col("hi")))
         rows = hits.groupBy("i", bucket.alias("b")).agg(
             F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")
         )
-        found = small_rows(rows, DRIVER_ROWS * 10)
+        found = small_rows(rows)
         by_span: dict[int, list] = {}
         for r in sorted(found, key=lambda r: (r["i"], r["b"])):
             by_span.setdefault(r["i"], []).append(r)

@@ -37,9 +37,9 @@ def cosine_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str) -> DataFrame:
 
 def check_k(k) -> int:
     if isinstance(k, bool) or not isinstance(k, int):
-        raise TypeError(f"top_k must be an integer, got {type(k).__name__}.")
+        raise TypeError(f"The number of matches has to be an int, not {type(k).__name__}.")
     if k <= 0:
-        raise ValueError(f"top_k must be positive, got {k}.")
+        raise ValueError(f"The number of matches has to be above 0, not {k}.")
     return k
 
 
@@ -53,7 +53,7 @@ def pad_top_k(top: DataFrame, queries: DataFrame, corpus: DataFrame, k: int, que
     """Fill queries with fewer than ``k`` matches with the first unmatched documents at score 0."""
     first = [r[0] for r in small_rows(corpus.select(doc_id).orderBy(doc_id).limit(k))]
     if not first:
-        raise ValueError("Corpus is empty. Cannot retrieve similar complaints.")
+        raise ValueError("There are no records to search.")
     found = queries.select(query_id).join(top.groupBy(query_id).agg(F.count("*").alias("_m")), query_id, "left")
     short = found.filter(F.coalesce("_m", F.lit(0)) < k).select(
         query_id, F.explode(F.array(*[F.lit(i) for i in first])).alias(doc_id))
@@ -62,10 +62,15 @@ def pad_top_k(top: DataFrame, queries: DataFrame, corpus: DataFrame, k: int, que
     return top_k(both, k, query_id, doc_id)
 
 
-def find_similar(queries: DataFrame, corpus: DataFrame, details: DataFrame, k: int, query_id: str, doc_id: str) -> DataFrame:
-    """Ranked matches of many queries with the columns of ``details`` (one row per document)."""
+def find_similar(queries: DataFrame, corpus: DataFrame, details: DataFrame, k: int, query_id: str, doc_id: str,
+                 all_queries: DataFrame | None = None) -> DataFrame:
+    """Ranked matches of many queries with the columns of ``details`` (one row per document).
+
+    ``all_queries`` names every query: one whose text has no known term has no row in ``queries``, and gets the
+    first documents at score 0.
+    """
     top = stage(top_k(cosine_pairs(queries, corpus, query_id, doc_id), k, query_id, doc_id))
-    ids = queries.select(query_id).distinct()
+    ids = (queries if all_queries is None else all_queries).select(query_id).distinct()
     return details.join(pad_top_k(top, ids, details, k, query_id, doc_id), doc_id)
 
 
@@ -178,7 +183,7 @@ def near_label_pairs(pairs: DataFrame, vectors: DataFrame, counts: DataFrame, id
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, vocabulary: DataFrame, query_id: str, doc_id: str,
-            seeds: int = 4, slack: float = 0.5) -> DataFrame:
+            seeds: int = 4, slack: float = 0.5, all_queries: DataFrame | None = None) -> DataFrame:
     """Best match per query (ties: lowest id) as ``(query_id, nn_id, nn_sim)``. Exact.
 
     Copies are searched once. The rarest terms of a query propose two records, whose true score s
@@ -186,6 +191,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, vocabulary: DataFrame, query_
     a record that shares none of them scores below s. What shares some is kept only if the shared
     weight plus the most the rest can add reaches s, and is then scored in full. So the frequent
     terms, which would pair almost everything with everything, mostly never enter the join.
+    A query of ``all_queries`` that shares no term with any record keeps its row, with no record and similarity 0.
     """
     q_keys, c_keys = vector_keys(queries, query_id), vector_keys(corpus, doc_id)
     terms = vocabulary.select("term", "term_id", "df")
@@ -213,8 +219,9 @@ def nearest(queries: DataFrame, corpus: DataFrame, vocabulary: DataFrame, query_
     kept = pairs.join(rest, "q").filter(F.col("acc") + room >= F.col("s") - 1e-9)
     best = scored(kept).groupBy("q").agg(F.min(F.struct(
         (-F.round("score", 9)).alias("o"), F.col(doc_id).alias("i"), F.col("score").alias("s"))).alias("x"))
-    return q_keys.withColumnRenamed("vec", "q").join(best, "q").select(
-        query_id, F.col("x.i").alias("nn_id"), F.least(F.greatest("x.s", F.lit(0.0)), F.lit(1.0)).alias("nn_sim"))
+    found = q_keys.withColumnRenamed("vec", "q").join(best, "q", "left").select(query_id, F.col("x.i").alias("nn_id"), F.col("x.s").alias("_s"))
+    rows = found if all_queries is None else all_queries.select(query_id).distinct().join(found, query_id, "left")
+    return rows.select(query_id, "nn_id", F.least(F.greatest(F.coalesce("_s", F.lit(0.0)), F.lit(0.0)), F.lit(1.0)).alias("nn_sim"))
 
 
 BIN_EDGES = (0.0, 0.5, 0.7, 0.8, 0.9, 0.95, 1.0001)  # fixed values

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from narrata.operators.ranking import order_statistics, running_total
-from narrata.session import small_rows, stage
+from narrata.session import stage
 
 _HASH_HEX = 15
 _BUCKET_SHIFT = 44  # 60 hash bits -> 65,536 buckets
@@ -20,19 +20,19 @@ def split_hash(id_col: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, _HASH_HEX), 16, 10).cast("bigint")
 
 
-def test_quotas(counts: dict, test_size: float | int, stratify: bool = True) -> dict | None:
-    """Test rows per class by largest remainder; None where the split must not be stratified."""
-    n, k = sum(counts.values()), len(counts)
+def test_rows(n: int, test_size: float | int) -> int:
     n_test = math.ceil(test_size * n) if isinstance(test_size, float) else int(test_size)
     if not 0 < n_test < n:
         raise ValueError(f"test_size={test_size} leaves an empty side for {n} rows")
-    if not stratify or min(counts.values()) < 2 or n_test < k or n - n_test < k:
-        return None
-    quota = {c: n_test * m // n for c, m in counts.items()}
-    spare = n_test - sum(quota.values())
-    for c in sorted(counts, key=lambda c: (-(n_test * counts[c] % n), c))[:spare]:
-        quota[c] += 1
-    return quota
+    return n_test
+
+
+def test_quotas(counts: DataFrame, label: str, n: int, n_test: int) -> DataFrame:
+    """``(label, quota)`` by largest remainder from ``(label, n)``; ties go to the first label, null before all."""
+    share = counts.select(label, F.expr(f"bigint({n_test}) * n div {n}").alias("_f"), F.expr(f"bigint({n_test}) * n % {n}").alias("_r"))
+    spare = F.lit(n_test) - F.sum("_f").over(Window.partitionBy(F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_r"), F.asc_nulls_first(label)))
+    return share.select(label, (F.col("_f") + (place <= spare).cast("int")).alias("quota"))
 
 
 def split_cuts(df: DataFrame, id: str, label: str, test_size: float | int = 0.2, seed: int = 42,
@@ -40,22 +40,24 @@ def split_cuts(df: DataFrame, id: str, label: str, test_size: float | int = 0.2,
     """The last test row of each class in hash order, as a class-level table.
 
     A histogram of hash buckets finds the bucket in which each class reaches its quota; only
-    that bucket is ranked, and the row found there is the cut for the whole class.
+    that bucket is ranked, and the row found there is the cut for the whole class. Null is a class
+    like any other. The split is not stratified if a class has one row or a side fewer rows than classes.
     """
     if df is None or not isinstance(df, DataFrame):
         raise TypeError("df must be a DataFrame")
-    counts = {r[label]: r["n"] for r in small_rows(df.groupBy(label).agg(F.count("*").alias("n")))}
-    if not counts:
-        raise ValueError("Cannot split an empty DataFrame.")
-    quota = test_quotas(counts, test_size, stratify)
-    n = sum(counts.values())
-    if quota is None:  # one stratum for all rows
-        quota = {None: math.ceil(test_size * n) if isinstance(test_size, float) else int(test_size)}
-        stratum: Column = F.lit(None).cast(df.schema[label].dataType)
-    else:
-        stratum = F.col(label)
+    counts = stage(df.groupBy(label).agg(F.count("*").alias("n")))
+    n, k, least = counts.agg(F.sum("n"), F.count("*"), F.min("n")).first()
+    if not k:
+        raise ValueError("There are no rows to split.")
+    n_test = test_rows(n, test_size)
+    per_class = stratify and least >= 2 and n_test >= k and n - n_test >= k
     kind = df.schema[label].dataType.simpleString()
-    quotas = df.sparkSession.createDataFrame(sorted(quota.items(), key=str), f"_qs {kind}, _q bigint")
+    if per_class:
+        stratum: Column = F.col(label)
+        quotas = stage(test_quotas(counts, label, n, n_test)).toDF("_qs", "_q")
+    else:  # one stratum for all rows
+        stratum = F.lit(None).cast(kind)
+        quotas = df.sparkSession.range(1).select(F.lit(None).cast(kind).alias("_qs"), F.lit(n_test).cast("long").alias("_q"))
     keys = df.select(stratum.alias("_s"), F.col(id).alias("_id"), split_hash(F.col(id), seed).alias("_h"))
     bucket = F.shiftright("_h", _BUCKET_SHIFT)
     hist = keys.groupBy("_s", bucket.alias("_b")).agg(F.count("*").alias("_n"))
@@ -67,18 +69,19 @@ def split_cuts(df: DataFrame, id: str, label: str, test_size: float | int = 0.2,
         edge, F.col("_s").eqNullSafe(F.col("_es")) & (F.col("_b") == F.col("_eb")))
     w = Window.partitionBy("_s").orderBy("_h", "_id")
     return stage(inside.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == F.col("_k")).select(
-        F.col("_s").alias("cut_class"), F.col("_h").alias("cut_hash"), F.col("_id").alias("cut_id"),
-        F.lit(quota is not None and None not in quota).alias("per_class")))
+        F.col("_s").alias("cut_class"), F.col("_h").alias("cut_hash"), F.col("_id").alias("cut_id"), F.lit(per_class).alias("per_class")))
 
 
 def apply_cuts(df: DataFrame, cuts: DataFrame, id: str, label: str, seed: int, out: str, test: str, train: str):
     """Mark each row by comparing it with the cut of its class: a join with a class-level table."""
     h = split_hash(F.col(id), seed)
-    same = ~F.col("per_class") | F.col("cut_class").eqNullSafe(F.col(label))
-    per_class = cuts.filter("per_class").limit(1).count() > 0
-    marked = df.join(cuts, F.col("cut_class") == F.col(label), "left") if per_class else df.join(
-        F.broadcast(cuts.limit(1)), same, "left")
-    is_test = (h < F.col("cut_hash")) | ((h == F.col("cut_hash")) & (F.col(id) <= F.col("cut_id")))
+    first = cuts.select("per_class", "cut_hash", "cut_id").first()
+    if first is None or first["per_class"]:
+        marked = df.join(cuts, F.col("cut_class").eqNullSafe(F.col(label)), "left")
+        cut_hash, cut_id = F.col("cut_hash"), F.col("cut_id")
+    else:  # one cut for all rows
+        marked, cut_hash, cut_id = df, F.lit(first["cut_hash"]), F.lit(first["cut_id"])
+    is_test = (h < cut_hash) | ((h == cut_hash) & (F.col(id) <= cut_id))
     return marked.withColumn(out, F.when(is_test, test).otherwise(train)).drop(*cuts.columns)
 
 

@@ -59,7 +59,7 @@ class FeatureSpec:
 # Settings of the experiments.
 WORD_UNIGRAMS = Block("word", (1, 1), min_df=2, max_df=0.95, sublinear_tf=True)
 WORD_BIGRAMS = replace(WORD_UNIGRAMS, ngram_range=(1, 2))
-CHAR_GRAMS = Block("char", (3, 5), min_df=5, max_df=0.95, max_features=100_000, sublinear_tf=True)
+CHAR_GRAMS = Block("char", (3, 5), min_df=5, max_df=0.95, sublinear_tf=True)
 CHAR_WORD_GRAMS = Block("char_wb", (3, 5), min_df=5, max_df=0.95, sublinear_tf=True)
 
 
@@ -99,19 +99,11 @@ def exploded(df: DataFrame, keys, grams: str = "_grams", out: str = "term") -> D
     return df.select(*keys, F.explode_outer(grams).alias(out)).filter(F.col(out).isNotNull())
 
 
-def partitions(spark) -> int:
-    """Partitions for work that grows after the shuffle (text becomes many terms), so that
-    adaptive execution must not merge them by their size. The setting rules once it is changed
-    from its default."""
-    setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return setting if setting != 200 else 2 * spark.sparkContext.defaultParallelism
-
-
 def term_counts(docs: DataFrame, block: Block, id: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
     """``(id, *carry, term, tf)``. The text is partitioned by document once; all later grouping by
     document, and by document and term, reuses that partitioning."""
     base = docs.select(id, *carry, F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    base = base.repartition(partitions(docs.sparkSession), F.col(id))
+    base = base.repartition(F.col(id))
     keys = [id, *carry]
     if block.analyzer == "word":
         grams = with_word_grams(base, "_t", block.ngram_range)

@@ -82,7 +82,7 @@ def vectors(spark, sf_dir):
     def build():
         d = labelled(spark, sf_dir)
         pool, test = d.filter("split = 'pool'"), d.filter("split = 'test'")
-        spec = V.FeatureSpec(word=V.Block("word", (1, 1), min_df=5, max_df=0.95, max_features=20_000, sublinear_tf=True))
+        spec = V.FeatureSpec(word=V.WORD_UNIGRAMS)
         voc = V.fit_features(pool, spec)
         index = linear.feature_index(voc)
         made = [linear.assemble(V.transform_features(part, voc, spec), index, part, "doc_id", ("label",)) for part in (pool, test)]
@@ -92,7 +92,7 @@ def vectors(spark, sf_dir):
 
 
 def logistic(spark, sf_dir):
-    return shared(spark, sf_dir, "logistic", lambda: linear.fit_logistic(vectors(spark, sf_dir)[0], "label", 2.0, 1.0, max_iter=100))
+    return shared(spark, sf_dir, "logistic", lambda: linear.fit_logistic(vectors(spark, sf_dir)[0], "label", 2.0, 1.0, max_iter=500))
 
 
 @query("logistic_predictions")
@@ -108,18 +108,18 @@ def logistic_terms(spark, sf_dir):
 @query("svc_predictions")
 def svc_predictions(spark, sf_dir):
     train, test, _ = vectors(spark, sf_dir)
-    m = linear.fit_svc(train, "label", 0.5, 1.0, max_iter=30)
+    m = linear.fit_svc(train, "label", 0.5, 1.0, max_iter=100)
     return linear.predict(m, test).select("doc_id", F.col("label").alias("y_true"), "y_pred", "conf")
 
 
 @query("hierarchical_predictions")
 def hierarchical_predictions(spark, sf_dir):
     train, test, _ = vectors(spark, sf_dir)
-    models = linear.fit_hierarchy(train, "label", narrow(spark), 2.0, 1.0, 50)
+    models = linear.fit_hierarchy(train, "label", narrow(spark), 2.0, 1.0, 500)
     return linear.predict_hierarchy(models, test, "doc_id", ("label",)).select("doc_id", F.col("label").alias("y_true"), "y_pred")
 
 
 @query("class_weight_audit")
 def class_weight_audit(spark, sf_dir):
     train, test, _ = vectors(spark, sf_dir)
-    return linear.weight_audit(train, test, "label", {"none": None, "balanced": 1.0, "power 0.5": 0.5}, C=2.0, max_iter=50)
+    return linear.weight_audit(train, test, "label", {"none": None, "balanced": 1.0, "power 0.5": 0.5}, C=2.0, max_iter=500)

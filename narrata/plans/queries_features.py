@@ -50,6 +50,24 @@ def unstratified_fallback(spark, sf_dir):
     return SP.mark_split(items, "item_id", "own_class").select("item_id", "split")
 
 
+@query("split_many_classes", """SELECT l_orderkey * 10 + l_linenumber AS row_id, CASE WHEN row_number() OVER (ORDER BY h, l_orderkey * 10 + l_linenumber) <= (SELECT ceil(0.2 * count(*)) FROM lineitem)
+ THEN 'test' ELSE 'train' END AS split FROM (SELECT *, ('0x' || substr(md5('42-' || (l_orderkey * 10 + l_linenumber)), 1, 15))::BIGINT AS h FROM lineitem)""")
+def split_many_classes(spark, sf_dir):
+    """Every line item is a class of its own: far more classes than a driver should hold."""
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"))
+    return SP.mark_split(rows.withColumn("own_class", F.col("row_id").cast("string")), "row_id", "own_class").select("row_id", "split")
+
+
+@query("split_with_null_labels", f"""WITH part_of AS (SELECT doc_id, nullif(lang, 'fr') AS lang FROM documents), parts AS (
+ SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {S.hash60('doc_id', 42)}, doc_id) AS r FROM part_of),
+ quota AS (SELECT lang, f + CASE WHEN row_number() OVER (ORDER BY r DESC, lang NULLS FIRST) <= nt - sum(f) OVER () THEN 1 ELSE 0 END AS q
+ FROM (SELECT lang, nt, nt * m // n AS f, nt * m % n AS r FROM (SELECT lang, count(*) AS m FROM part_of GROUP BY 1), (SELECT count(*) AS n, ceil(0.2 * count(*))::BIGINT AS nt FROM part_of)))
+ SELECT doc_id, parts.lang, CASE WHEN parts.r <= q THEN 'test' ELSE 'train' END AS split FROM parts JOIN quota ON parts.lang IS NOT DISTINCT FROM quota.lang""")
+def split_with_null_labels(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.nullif("lang", F.lit("fr")).alias("lang"))
+    return SP.mark_split(rows, "doc_id", "lang")
+
+
 _NESTED = (f"outer_split AS ({S.split('docs', 'doc_id', 'source', 0.2, 42, 'test', 'pool')}), inner_pool AS (SELECT doc_id, source FROM outer_split WHERE split = 'pool'), "
            f"inner_split AS ({S.split('inner_pool', 'doc_id', 'source', 0.2, 43, 'val', 'train')}), "
            "nested AS (SELECT doc_id, source, split FROM inner_split UNION ALL SELECT doc_id, source, split FROM outer_split WHERE split = 'test')")
@@ -249,7 +267,7 @@ def top_k_records(spark, sf_dir):
 @query("similar_records", _RETRIEVE + """SELECT item_id, rank, doc_id, round(score, 6) AS score, source AS category, text FROM ranked JOIN documents USING (doc_id) WHERE rank <= 5""")
 def similar_records(spark, sf_dir):
     details = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"), "text")
-    hits = SIM.find_similar(benchmark_weights(spark, sf_dir), word_weights(spark, sf_dir), details, 5, "item_id", "doc_id")
+    hits = SIM.find_similar(benchmark_weights(spark, sf_dir), word_weights(spark, sf_dir), details, 5, "item_id", "doc_id", table(spark, sf_dir, "benchmark"))
     return hits.select("item_id", "rank", "doc_id", "score", "category", "text")
 
 
@@ -289,7 +307,8 @@ _TWO = (f"WITH {_D}, parts AS ({S.split('docs', 'doc_id', 'source', 0.2, 42)}),
         f"val AS (SELECT docs.* FROM docs JOIN parts USING (doc_id) WHERE split = 'test'), tf AS ({S.term_counts('train', 'word', 1, 2)}), v AS ({S.vocabulary('tf', 'train', 2, 0.95)}), "
         f"w AS ({S.weights('tf', 'v')}), qtf AS ({S.term_counts('val', 'word', 1, 2)}), q AS (SELECT doc_id AS query_id, term, w FROM ({S.weights('qtf', 'v')})), "
         "scores AS (SELECT query_id, w.doc_id, least(greatest(sum(q.w * w.w), 0.0), 1.0) AS score FROM q JOIN w USING (term) GROUP BY ALL), "
-        "nn AS (SELECT query_id AS doc_id, doc_id AS nn_id, score AS nn_sim FROM scores QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) = 1) ")
+        "best AS (SELECT query_id, doc_id AS nn_id, score FROM scores QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) = 1), "
+        "nn AS (SELECT val.doc_id, nn_id, coalesce(score, 0.0) AS nn_sim FROM val LEFT JOIN best ON query_id = val.doc_id) ")
 
 
 
@@ -302,7 +321,8 @@ def train_neighbours(spark, sf_dir):
         voc = V.fit_vocabulary(train, V.WORD_BIGRAMS)
         corpus = V.transform(train, voc, V.WORD_BIGRAMS)
         q = stage(V.transform(val, voc, V.WORD_BIGRAMS).select(F.col("doc_id").alias("query_id"), "term", "w"))
-        return stage(SIM.nearest(q, stage(corpus), voc, "query_id", "doc_id").withColumnRenamed("query_id", "doc_id"))
+        every = val.select(F.col("doc_id").alias("query_id"))
+        return stage(SIM.nearest(q, stage(corpus), voc, "query_id", "doc_id", all_queries=every).withColumnRenamed("query_id", "doc_id"))
 
     return shared(spark, sf_dir, "train_neighbours", build)
 

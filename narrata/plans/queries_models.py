@@ -634,8 +634,7 @@ def support_correlation(spark, sf_dir):
     return E.support_correlation(c)
 
 
-_TOKS = """toks AS (SELECT label AS c, tok, count(*) AS n FROM (SELECT label, unnest(regexp_split_to_array(lower(t), '[\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}]+')) AS tok FROM (SELECT source AS label, text AS t FROM documents
- QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 200)) WHERE length(tok) > 3 GROUP BY ALL), bt AS (SELECT c, list(tok ORDER BY n DESC, tok) AS ts FROM
+_TOKS = """toks AS (SELECT label AS c, tok, count(*) AS n FROM (SELECT label, unnest(regexp_split_to_array(lower(t), '[\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}]+')) AS tok FROM (SELECT source AS label, text AS t FROM documents)) WHERE length(tok) > 3 GROUP BY ALL), bt AS (SELECT c, list(tok ORDER BY n DESC, tok) AS ts FROM
  (SELECT * FROM toks QUALIFY row_number() OVER (PARTITION BY c ORDER BY n DESC, tok) <= 20) GROUP BY 1)"""
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from narrata.functions.text import strip
 from narrata.sources.tables import filter_records
 
+# Field and column names of the records.
 HIT = ("struct<_index: string, _id: string, _source: struct<complaint_id: string, product: string, sub_product: string, "
        "issue: string, company: string, state: string, date_received: string, complaint_what_happened: string, "
        "has_narrative: boolean>>")
@@ -40,11 +41,11 @@ def hits_of(pages: DataFrame, order: list[str]) -> DataFrame:
     return rows.select(*order, "pos", *[c.alias(n) for n, c in normalize_hit().items()])
 
 
-def collect(pages: DataFrame, order: list[str], max_records: int | None = 50, drop_empty: bool = False,
+def collect(pages: DataFrame, order: list[str], max_records: int | None = None, drop_empty: bool = False,
             product: str | None = None, term: str | None = None) -> DataFrame:
-    """Hits in page order up to ``max_records``; texts without content go before the cap counts."""
+    """All hits in page order, or the first ``max_records``; texts without content go before the cap counts."""
     if max_records is not None and max_records <= 0:
-        raise ValueError(f"max_records must be a positive integer, got {max_records}.")
+        raise ValueError(f"The number of records asked for is {max_records}; it has to be above 0.")
     rows = filter_records(hits_of(pages, order), product, term)
     if drop_empty:
         rows = rows.filter("text <> ''")

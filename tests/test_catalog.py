@@ -6,8 +6,6 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-# covered at a larger scale by check.py; too slow to repeat here
-SLOW = {"preprocessing_experiment", "chronological_experiment", "cleaning_variants"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +21,7 @@ def ordered(columns, rows):
     return [columns[i] for i in at], sorted([tuple(r[i] for i in at) for r in rows], key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     cur = duck.execute(entry.oracle_sql()[name])

@@ -70,7 +70,16 @@ def test_split_fallback_and_errors(spark):
         SP.mark_split(None, "id", "c")
     with pytest.raises(ValueError):
         SP.mark_split(df.limit(0), "id", "c")
-    assert SP.test_quotas({"a": 5, "b": 5}, 0.25) == {"a": 2, "b": 1}
+    counts = spark.createDataFrame([("a", 5), ("b", 5)], "c string, n bigint")
+    assert {r["c"]: r["quota"] for r in SP.test_quotas(counts, "c", 10, SP.test_rows(10, 0.25)).collect()} == {"a": 2, "b": 1}
+
+
+def test_split_counts_null_as_a_class(spark):
+    labels = [None] * 30 + ["a"] * 41 + ["b"] * 29
+    out = SP.mark_split(spark.createDataFrame(list(enumerate(labels)), "id bigint, c string"), "id", "c", 0.2)
+    assert {r["c"]: r["n"] for r in out.filter("split = 'test'").groupBy("c").agg(F.count("*").alias("n")).collect()} == {None: 6, "a": 8, "b": 6}
+    tied = SP.mark_split(spark.createDataFrame(list(enumerate([None] * 5 + ["a"] * 5)), "id bigint, c string"), "id", "c", 0.25)
+    assert {r["c"]: r["n"] for r in tied.filter("split = 'test'").groupBy("c").agg(F.count("*").alias("n")).collect()} == {None: 2, "a": 1}
 
 
 def test_chronological_split_with_one_hot_day(spark):
@@ -176,8 +185,11 @@ def test_top_k_rules(spark):
     d = docs(spark, ["card fee", "loan", "escrow", "card"])
     v, w = V.fit_transform(d, V.Block("word"))
     q = V.transform(spark.createDataFrame([(9, "card"), (10, "unknown words")], "qid bigint, text string"), v, V.Block("word"), id="qid")
-    hits = SIM.find_similar(q, w, d, 10, "qid", "doc_id").orderBy("rank").collect()
-    assert [r["doc_id"] for r in hits] == [3, 0, 1, 2] and hits[-1]["score"] == 0.0
+    ids = spark.createDataFrame([(9,), (10,)], "qid bigint")
+    hits = SIM.find_similar(q, w, d, 10, "qid", "doc_id", ids).orderBy("qid", "rank").collect()
+    assert [r["doc_id"] for r in hits] == [3, 0, 1, 2, 0, 1, 2, 3] and [r["score"] for r in hits[3:]] == [0.0] * 5
+    near = SIM.nearest(q, w, v, "qid", "doc_id", all_queries=ids).orderBy("qid").collect()
+    assert [(r["qid"], r["nn_id"], r["nn_sim"]) for r in near] == [(9, 3, pytest.approx(1.0)), (10, None, 0.0)]
 
 
 @pytest.mark.parametrize("threshold", [0.9, 0.7])

@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -18,6 +19,10 @@ import numpy as np
 LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t\n\x0b\x0c\r \x85\xa0"
 PARTS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+# Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+PRINTABLE = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 UNCOMMON = re.compile("[^\x00-ɏ]")
 #: Most words a worker keeps; it then starts anew. A matter of memory only.
 KEPT_WORDS = 500_000
@@ -36,13 +41,11 @@ class WordEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
-        found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words)), "right")
-        raw, start = ids.tobytes(), 0
-        for word, end in zip(words, (4 * ends).tolist(), strict=True):
-            self.known[word] = raw[start:end]
-            start = end
+        """Ask the library's merges for words, spelled in the printable characters that stand for bytes there."""
+        split = self.library.model.tokenize
+        for word in words:
+            ids = [t.id for t in split(word.encode().decode("latin-1").translate(PRINTABLE))]
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

@@ -23,148 +23,187 @@ import zlib
 import numpy as np
 
 MAGIC, VERSION, BLOCK, LANES = b"NTOK", 1, 1024, 2048
-SLOTS = 1 << 10
+SLOTS = 1 << 9
+#: Ids after which order 0 is dealt anew, and what a count counts.
+DEAL, COUNT = 16, 24
 TOP, BOTTOM, SHIFT = np.uint64(48), np.uint64(1 << 32), np.uint64(16)
 LOW_BITS = np.uint64((1 << 32) - 1)
 #: Bounds of the order-2 and order-1 weights and least part of a magnitude, of 65,536; rates are shifts.
 MOST2, MOST1, LEAST, LEAST_CLASS = 57_344, 49_152, 256, 32
-RATE, CLASS_RATE = 4, 5
+RATE = 4
 
 
 class Lanes:
     """The statistics of ``n`` blocks, the same for both directions."""
 
     def __init__(self, n: int, classes: int):
-        self.n, self.classes = n, classes
+        self.n, self.classes, self.steps = n, classes, 0
         self.lane = np.arange(n)
-        self.table2, self.table1 = np.zeros(n * SLOTS, np.int64), np.zeros(n * SLOTS, np.int64)
+        self.table2, self.table1 = np.zeros(n * SLOTS, np.int32), np.zeros(n * SLOTS, np.int32)
         self.at, self.at4 = self.lane * SLOTS, self.lane * 4
-        self.weight2, self.weight1 = np.tile(np.array([2048, 16384, 32768, 49152]), n), np.tile(np.array([2048, 16384, 32768, 40960]), n)
-        self.cum = np.repeat((np.arange(classes + 1) * 65536 // classes)[:, None], n, 1).astype(np.int32)
-        j = np.arange(classes + 1)
-        self.target = np.where(j[None, :] > np.arange(classes)[:, None], 65536 - (classes - j)[None, :] * LEAST_CLASS, j[None, :] * LEAST_CLASS).astype(np.int32).T.copy()
-        self.last = self.before = np.zeros(n, np.int64)
-
-    def predict(self):
+        self.weight2, self.weight1 = np.tile(np.array([2048, 16384, 32768, 49152], np.int32), n), np.tile(np.array([2048, 16384, 32768, 40960], np.int32), n)
+        self.counts = np.ones((classes, n), np.int32)
+        self.cum = np.zeros((classes + 1, n), np.int32)
+        self.last = self.before = np.zeros(n, np.int32)
+        self.deal()
+
+    def deal(self) -> None:
+        """Widths of order 0 from the counts so far; older counts fade by halves."""
+        total = self.counts.sum(0)
+        fading = total > 4096
+        if fading.any():
+            self.counts[:, fading] = (self.counts[:, fading] + 1) >> 1
+            total = self.counts.sum(0)
+        np.cumsum(self.counts, 0, out=self.cum[1:])
+        self.cum[1:] *= (65536 - self.classes * LEAST_CLASS) >> 2  # below 2 ** 31
+        self.cum[1:] //= total
+        self.cum[1:] <<= 2
+        self.cum += (np.arange(self.classes + 1) * LEAST_CLASS).astype(np.int32)[:, None]
+
+    def predict(self) -> None:
         self.i2 = self.at + (((self.before * 40503 + self.last * 30011) >> 4) & (SLOTS - 1))
         self.i1 = self.at + (((self.last * 40503) >> 3) & (SLOTS - 1))
-        self.e2, self.e1 = self.table2[self.i2], self.table1[self.i1]
+        self.e2, self.e1 = self.table2.take(self.i2), self.table1.take(self.i1)
+        self.p2, self.p1 = self.e2 >> 2, self.e1 >> 2
         self.j2, self.j1 = self.at4 + (self.e2 & 3), self.at4 + (self.e1 & 3)
-        self.w2, self.w1 = self.weight2[self.j2], self.weight1[self.j1]
-        self.f1 = ((65536 - self.w2) * self.w1) >> 16
+        self.w2, self.w1 = self.weight2.take(self.j2), self.weight1.take(self.j1)
+        self.f1 = ((65536 - self.w2) * (self.w1 >> 2)) >> 14
         self.escape = self.w2 + self.f1
-        self.rest = 65536 - self.escape
-
-    def learn(self, x, hit2, same1, hit1, k):
-        """``k`` counts for documents that neither prediction gave; others leave order 0 as it is."""
-        self.weight2[self.j2] = np.clip(self.w2 + ((hit2 * 65536 - self.w2) >> RATE), LEAST, MOST2)
-        self.weight1[self.j1] = np.clip(self.w1 + ((hit1 * 65536 - self.w1) >> RATE), LEAST, MOST1)
-        self.table2[self.i2] = np.where(hit2, np.minimum(self.e2 + 1, self.e2 | 3), x << 2)
-        self.table1[self.i1] = np.where(same1, np.minimum(self.e1 + 1, self.e1 | 3), x << 2)
-        self.cum += (self.target[:, k] - self.cum) >> CLASS_RATE
+        self.rest = (65536 - self.escape) >> 1
+
+    def part(self, edge: np.ndarray) -> np.ndarray:
+        """Where an edge of order 0 falls among what the predictions leave."""
+        return self.escape + ((self.rest * (edge >> 1)) >> 14)
+
+    def learn(self, x, hit2, same1, hit1, k) -> None:
+        """``k`` counts for ids that neither prediction gave."""
+        self.weight2[self.j2] = np.clip(self.w2 + ((hit2 * np.int32(65536) - self.w2) >> RATE), LEAST, MOST2)
+        self.weight1[self.j1] = np.clip(self.w1 + ((hit1 * np.int32(65536) - self.w1) >> RATE), LEAST, MOST1)
+        fresh = x << 2
+        self.table2[self.i2] = np.where(hit2, np.minimum(self.e2 + 1, self.e2 | 3), fresh)
+        self.table1[self.i1] = np.where(same1, np.minimum(self.e1 + 1, self.e1 | 3), fresh)
+        spot = k * self.n + self.lane
+        counts = self.counts.ravel()
+        counts[spot] += COUNT * ~(hit2 | same1)
+        self.steps += 1
+        if self.steps % DEAL == 0 or self.steps < DEAL:
+            self.deal()
         self.before, self.last = self.last, x
 
 
+def _magnitudes(ids: np.ndarray) -> np.ndarray:
+    return np.frexp(ids.astype(np.float64))[1].astype(np.int32)
+
+
 def _encode_lanes(ids: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
     """(words, words per lane) of ``ids`` (lane, BLOCK)."""
     n, length = ids.shape
     model = Lanes(n, classes)
-    steps = np.ascontiguousarray(ids.T.astype(np.int64))
+    steps = np.ascontiguousarray(ids.T.astype(np.int32))
+    classes_of, lane = _magnitudes(steps), model.lane
     low, width = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
-    out, filled = np.zeros((n, 3 * length + 8), "<u2"), np.zeros(n, np.int64)
-    flat, row = out.ravel(), np.arange(n) * out.shape[1]
+    out, filled = np.zeros((n, 3 * length + 8), "<u2"), np.arange(n) * (3 * length + 8)
+    flat, begin = out.ravel(), filled.copy()
     cum = model.cum.ravel()
-    for x in steps:
+    for x, k in zip(steps, classes_of, strict=True):
         model.predict()
-        k = np.frexp(x.astype(np.float64))[1].astype(np.int64)
-        hit2 = (model.e2 >> 2) == x
-        same1 = (model.e1 >> 2) == x
+        hit2, same1 = model.p2 == x, model.p1 == x
         hit1 = same1 & ~hit2
-        at = k * n + model.lane
-        start = model.escape + ((model.rest * cum[at]) >> 16)
-        stop = model.escape + ((model.rest * cum[at + n]) >> 16)
-        start = np.where(hit1, model.w2, start)
-        start[hit2] = 0
-        size = np.where(hit1, model.f1, stop - start)
-        size = np.where(hit2, model.w2, size)
+        at = k * n + lane
+        start = model.part(cum.take(at))
+        size = model.part(cum.take(at + n)) - start
         bits = np.maximum(k - 1, 0)
-        bits[same1 | hit2] = 0
-        raw = np.where(bits > 0, x & ((1 << bits) - 1), 0).astype(np.uint64)
+        raw = x - (np.int32(1) << bits)
+        np.copyto(start, model.w2, where=hit1)
+        np.copyto(size, model.f1, where=hit1)
+        np.copyto(start, 0, where=hit2)
+        np.copyto(size, model.w2, where=hit2)
+        known = hit2 | same1 | (k == 0)
+        np.copyto(bits, 0, where=known)
+        np.copyto(raw, 0, where=known)
         part = width >> SHIFT
         low += part * start.astype(np.uint64)
-        width = (part * size.astype(np.uint64)) >> bits.astype(np.uint64)
-        low += width * raw
-        settled = ((low ^ (low + width)) >> TOP) == 0
-        who = np.flatnonzero(settled | (width < BOTTOM))
+        part *= size.astype(np.uint64)
+        width = part >> bits.astype(np.uint64)
+        low += width * raw.astype(np.uint64)
+        who = np.flatnonzero((((low ^ (low + width)) >> TOP) == 0) | (width < BOTTOM))
         while len(who):
-            lo, wi = low[who], width[who]
+            lo, wi = low.take(who), width.take(who)
             wi = np.where(((lo ^ (lo + wi)) >> TOP) == 0, wi, (~lo + np.uint64(1)) & LOW_BITS)
-            flat[row[who] + filled[who]] = lo >> TOP
-            filled[who] += 1
-            lo, wi = lo << SHIFT, wi << SHIFT
+            spot = filled.take(who)
+            flat[spot] = lo >> TOP
+            filled[who] = spot + 1
+            lo <<= SHIFT
+            wi <<= SHIFT
             low[who], width[who] = lo, wi
             who = who[(((lo ^ (lo + wi)) >> TOP) == 0) | (wi < BOTTOM)]
         model.learn(x, hit2, same1, hit1, k)
     for _ in range(4):
-        flat[row + filled] = low >> TOP
+        flat[filled] = low >> TOP
         filled += 1
         low <<= SHIFT
+    filled -= begin
     return out[np.arange(out.shape[1])[None, :] < filled[:, None]], filled
 
 
 def _decode_lanes(words: np.ndarray, counts: np.ndarray, classes: int, length: int) -> np.ndarray:
     n = len(counts)
     model = Lanes(n, classes)
+    lane = model.lane
     words = np.concatenate([words, np.zeros(8, "<u2")])
+    most = len(words) - 1
     at = np.cumsum(counts) - counts
     low, width, code = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64), np.zeros(n, np.uint64)
     for _ in range(4):
         code = (code << SHIFT) | words[at].astype(np.uint64)
         at = at + 1
-    out = np.zeros((length, n), np.int64)
-    cum = model.cum
+    out = np.zeros((length, n), np.int32)
     for step in range(length):
         model.predict()
         part = width >> SHIFT
-        value = np.minimum((code - low) // part, np.uint64(65535)).astype(np.int64)
+        value = np.minimum((code - low) // part, np.uint64(65535)).astype(np.int32)
         hit2 = value < model.w2
         inside1 = ~hit2 & (value < model.escape)
-        scaled = (model.rest[None, :] * cum) >> 16
-        scaled += model.escape
-        k = (scaled[1:] <= value).sum(0)
-        k[hit2 | inside1] = 0
-        spot = k * n + model.lane
+        scaled = model.part(model.cum)
+        k = (scaled[1:] <= value).view(np.int8).sum(0, dtype=np.int8).astype(np.int32)
+        np.copyto(k, 0, where=hit2 | inside1)
+        spot = k * n + lane
         flat = scaled.ravel()
-        start, stop = flat[spot], flat[spot + n]
-        start = np.where(inside1, model.w2, start)
-        start[hit2] = 0
-        size = np.where(inside1, model.f1, stop - start)
-        size = np.where(hit2, model.w2, size)
+        start = flat.take(spot)
+        size = flat.take(spot + n) - start
+        np.copyto(start, model.w2, where=inside1)
+        np.copyto(size, model.f1, where=inside1)
+        np.copyto(start, 0, where=hit2)
+        np.copyto(size, model.w2, where=hit2)
         bits = np.maximum(k - 1, 0)
         low += part * start.astype(np.uint64)
-        width = (part * size.astype(np.uint64)) >> bits.astype(np.uint64)
-        raw = ((code - low) // width).astype(np.int64) * (bits > 0)
+        part *= size.astype(np.uint64)
+        width = part >> bits.astype(np.uint64)
+        raw = ((code - low) // width).astype(np.int32)
+        np.copyto(raw, 0, where=bits == 0)
         low += width * raw.astype(np.uint64)
-        x = np.where(k > 0, (1 << bits) | raw, 0)
-        x = np.where(inside1, model.e1 >> 2, x)
-        x = np.where(hit2, model.e2 >> 2, x)
+        x = (np.int32(1) << bits) + raw
+        np.copyto(x, 0, where=k == 0)
+        np.copyto(x, model.p1, where=inside1)
+        np.copyto(x, model.p2, where=hit2)
         who = np.flatnonzero((((low ^ (low + width)) >> TOP) == 0) | (width < BOTTOM))
         while len(who):
-            lo, wi, co = low[who], width[who], code[who]
+            lo, wi, co, spot = low.take(who), width.take(who), code.take(who), at.take(who)
             wi = np.where(((lo ^ (lo + wi)) >> TOP) == 0, wi, (~lo + np.uint64(1)) & LOW_BITS)
-            lo, wi, co = lo << SHIFT, wi << SHIFT, (co << SHIFT) | words[np.minimum(at[who], len(words) - 1)].astype(np.uint64)
-            at[who] += 1
-            low[who], width[who], code[who] = lo, wi, co
+            lo <<= SHIFT
+            wi <<= SHIFT
+            co <<= SHIFT
+            co |= words.take(np.minimum(spot, most))
+            at[who], low[who], width[who], code[who] = spot + 1, lo, wi, co
             who = who[(((lo ^ (lo + wi)) >> TOP) == 0) | (wi < BOTTOM)]
-        same1 = (model.e1 >> 2) == x
-        k = np.frexp(x.astype(np.float64))[1].astype(np.int64)
+        same1 = model.p1 == x
         model.learn(x, hit2, same1, same1 & ~hit2, k)
         out[step] = x
     return out.T
 
 
 def encode_frame(doc_ids: list[int | None], docs: list[bytes]) -> bytes:
-    """One frame of whole documents; ``docs`` are ids as little-endian unsigned 32-bit integers, each below 2**30."""
+    """One frame of whole documents; ``docs`` are ids as little-endian unsigned 32-bit integers, each below 2**29."""
     ids = np.frombuffer(b"".join(docs), "<u4")
     blocks = max(1, -(-len(ids) // BLOCK)) if len(ids) else 0
     padded = np.zeros((blocks, BLOCK), "<u4")

@@ -117,8 +117,11 @@ def extract(sources: list[str], model: boosting.Model, odds: dict[str, float]) -
 
 
 def sample(pages: DataFrame, id: str, html: str) -> list[str]:
+    """At most ``SAMPLE`` pages, by hash of the id: the bound of the hash is found first, so that few pages move."""
     rows = pages.filter(F.col(f"`{html}`").isNotNull() & (F.length(F.col(f"`{html}`")) <= PAGE_CHARS))
-    return [r[0] for r in rows.select(F.col(f"`{html}`").alias("h"), F.xxhash64(F.col(f"`{id}`"), F.lit("sample")).alias("k")).orderBy("k", "h").limit(SAMPLE).collect()]
+    keyed = rows.select(F.col(f"`{html}`").alias("h"), F.xxhash64(F.col(f"`{id}`"), F.lit("sample")).alias("k"))
+    first = [r["k"] for r in keyed.select("k").orderBy("k").limit(SAMPLE).collect()]
+    return [r["h"] for r in keyed.filter(F.col("k") <= first[-1]).orderBy("k", "h").limit(SAMPLE).collect()] if first else []
 
 
 def texts(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

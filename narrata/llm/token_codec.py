@@ -161,11 +161,12 @@ def _decode_lanes(words: np.ndarray, counts: np.ndarray, classes: int, length: i
     for step in range(length):
         model.predict()
         part = width >> SHIFT
-        value = np.minimum((code - low) // part, np.uint64(65535)).astype(np.int32)
+        value = np.minimum((code - low) // np.maximum(part, np.uint64(1)), np.uint64(65535)).astype(np.int32)
         hit2 = value < model.w2
         inside1 = ~hit2 & (value < model.escape)
         scaled = model.part(model.cum)
         k = (scaled[1:] <= value).view(np.int8).sum(0, dtype=np.int8).astype(np.int32)
+        np.minimum(k, classes - 1, out=k)  # a damaged block may ask for more; its checksum tells
         np.copyto(k, 0, where=hit2 | inside1)
         spot = k * n + lane
         flat = scaled.ravel()
@@ -179,7 +180,7 @@ def _decode_lanes(words: np.ndarray, counts: np.ndarray, classes: int, length: i
         low += part * start.astype(np.uint64)
         part *= size.astype(np.uint64)
         width = part >> bits.astype(np.uint64)
-        raw = ((code - low) // width).astype(np.int32)
+        raw = ((code - low) // np.maximum(width, np.uint64(1))).astype(np.int32)
         np.copyto(raw, 0, where=bits == 0)
         low += width * raw.astype(np.uint64)
         x = (np.int32(1) << bits) + raw

@@ -37,6 +37,7 @@ LEXICONS = {
     "payday": PAYDAY_WORDS,
     "credit": CREDIT_WORDS,
 }
+# Negations, and the words that stand for symbols and masks in the variants.
 NEGATION_PATTERN = r"\bnot\b|n't|\bno\b|\bnever\b"
 KEPT_NEGATIONS = ("no", "not", "nor", "never")
 
@@ -84,7 +85,10 @@ def _squeeze(text: Column, mask: str = "") -> Column:
 
 
 def _without_contacts(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, _URL, " "), _EMAIL, " ")
+    """``text`` (in lower case) without URLs and addresses; most texts hold neither and skip the patterns."""
+    linked = F.contains(text, F.lit("http")) | F.contains(text, F.lit("www."))
+    plain = F.when(linked, F.regexp_replace(text, _URL, " ")).otherwise(text)
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(plain, _EMAIL, " ")).otherwise(plain)
 
 
 def clean(text, mode: str = "standard") -> Column:

@@ -17,7 +17,7 @@ class BayesModel:
     kind: str
     classes: list
     prior: list[float]
-    block: Block
+    block: Block | None  # None for a model over several blocks
     table: DataFrame  # staged: term, idf, theta array in class order
 
 
@@ -73,7 +73,7 @@ def fit_sums(docs: DataFrame, block: Block, label: str, id: str = "doc_id", text
     return counts, table
 
 
-def model_from_sums(counts: dict, sums: DataFrame, block: Block, kind: str, alpha: float) -> BayesModel:
+def model_from_sums(counts: dict, sums: DataFrame, block: Block | None, kind: str, alpha: float) -> BayesModel:
     k = len(counts)
     row = sums.agg(F.count("*").alias("size"), *[F.sum(F.get("s", F.lit(i))).alias(f"t{i}") for i in range(k)]).first()
     theta = _theta(kind, alpha, row["size"], [row[f"t{i}"] for i in range(k)])
@@ -90,9 +90,33 @@ def fit(docs: DataFrame, block: Block, label: str, kind: str = "multinomial", al
     return model_from_sums(counts, sums, block, kind, alpha)
 
 
+def block_terms(weights: DataFrame) -> DataFrame:
+    """Terms that also say which block they are of."""
+    return weights.withColumn("term", F.concat_ws(":", "block", "term"))
+
+
+def sums_of_weights(weights: DataFrame, docs: DataFrame, label: str):
+    """As ``fit_sums``, from a long weight table of any blocks that carries ``label``."""
+    counts = class_counts(docs, label)
+    if len(counts) < 2:
+        raise ValueError("A classifier needs at least two classes.")
+    sums = block_terms(weights).groupBy("term").agg(F.array(*[
+        F.coalesce(F.sum(F.when(F.col(label) == c, F.col("w"))), F.lit(0.0)) for c in counts]).alias("s"))
+    return counts, stage(sums.withColumn("idf", F.lit(1.0)))
+
+
+def predict_weights(model: BayesModel, weights: DataFrame, docs: DataFrame, id: str = "doc_id", carry=()) -> DataFrame:
+    """As ``predict``, for rows of ``docs`` whose weights over any blocks are given."""
+    known = block_terms(weights).select(id, "term", "w").join(model.table.select("term", "theta"), "term")
+    return _scored(model, known, docs, id, carry)
+
+
 def predict(model: BayesModel, docs: DataFrame, id: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
     """``(id, *carry, y_pred, conf, scores)``; documents without known terms get the prior."""
-    weights = transform(docs, model.table, model.block, id, text, extra=("theta",))
+    return _scored(model, transform(docs, model.table, model.block, id, text, extra=("theta",)), docs, id, carry)
+
+
+def _scored(model: BayesModel, weights: DataFrame, docs: DataFrame, id: str, carry) -> DataFrame:
     k = len(model.classes)
     summed = weights.groupBy(id).agg(*[
         F.sum(F.col("w") * F.get("theta", F.lit(i))).alias(f"_s{i}") for i in range(k)])

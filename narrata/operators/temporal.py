@@ -51,7 +51,3 @@ def crosstab(df: DataFrame, label: str, period) -> DataFrame:
     lists = counts.agg(F.collect_set("category").alias("c"), F.collect_set("period").alias("p"))
     grid = lists.select(F.explode("c").alias("category"), "p").select("category", F.explode("p").alias("period"))
     return grid.join(counts, ["category", "period"], "left").select("category", "period", F.coalesce("n", F.lit(0)).alias("n"))
-
-
-def crosstab_wide(df: DataFrame, label: str, period, periods: list) -> DataFrame:
-    return df.withColumn("_p", period).groupBy(label).pivot("_p", periods).count().fillna(0)

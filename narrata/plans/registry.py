@@ -38,9 +38,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def state_of(spark: SparkSession, folder: str) -> int:
+    """A number that changes when files of ``folder`` come, go or change."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
 def shared(spark: SparkSession, sf_dir: str, key, build):
-    """One staged table or fitted model per session and folder, used by many queries."""
-    full = (spark.sparkContext.applicationId, sf_dir, key)
+    """One staged table or fitted model per session and state of the folder, used by many queries."""
+    full = (spark.sparkContext.applicationId, sf_dir, state_of(spark, sf_dir), key)
     if full not in _shared:
         _shared[full] = build()
     return _shared[full]

@@ -328,15 +328,22 @@ def test_search_resumes_and_final_runs_once(spark, tmp_path):
     s = search.Search(spark, d, d, str(tmp_path / "results"))
     spec = V.FeatureSpec(word=V.Block("word"))
     grid = [search.Classifier("multinomial", alpha=a) for a in (0.1, 1.0)]
-    assert s.run_stage("S4 NB", [spec], grid).count() == 2
-    assert s.run_stage("S4 NB", [spec], grid + [search.Classifier("complement", alpha=0.1)]).count() == 3
-    best, row = s.best("S4 NB")
+    assert s.run_stage("bayes", [spec], grid).count() == 2
+    assert s.run_stage("bayes", [spec], grid + [search.Classifier("complement", alpha=0.1)]).count() == 3
+    best, row = s.best("bayes")
     assert best == spec and row["macro_f1"] == 1.0
     assert search.search_report(s.results())["range"].first()["n"] == 3
     done = search.run_final(spark, d, d, spec, grid[0], {"macro_f1": 0.5, "accuracy": 0.5}, str(tmp_path / "final"))
     assert done["promoted"]
     with pytest.raises(RuntimeError):
         search.run_final(spark, d, d, spec, grid[0], {}, str(tmp_path / "final"))
+    words, chars = [search.FeatureSpec(word=V.Block("word"))], [search.FeatureSpec(char=V.Block("char", (2, n))) for n in (2, 3)]
+    bayes = lambda _: grid[:1]
+    t = search.Search(spark, d, d, str(tmp_path / "steps"))
+    best, row = t.run((search.Step("word", lambda _: words, bayes), search.Step("character", lambda _: chars, bayes), search.Step("joined", search.joined, bayes)))
+    sizes = {(r["stage"], r["features"]): r["dims"] for r in t.results().collect()}
+    assert len(sizes) == 6 and all(n > max(m for (s_, f), m in sizes.items() if s_ == "word") for (s_, f), n in sizes.items() if s_ == "joined")
+    assert row["macro_f1"] == max(r["macro_f1"] for r in t.results().collect()) and best.describe() == row["features"]
     assert not search.promote({"macro_f1": 0.6, "accuracy": 0.4}, {"macro_f1": 0.5, "accuracy": 0.5})
     assert len(search.word_specs()) == 13 and len(search.char_specs()) == 8
 

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrata.llm.common import mixed, pieces, runs, stage, utf8, word_hashes
@@ -33,8 +33,8 @@ from narrata.llm.graph import components
 COORDINATES, MATCHES, BLOCK, TEXT_BYTES = 32, 14, 512, 1 << 20
 #: Columns of a shingle matrix at once, and members up to which pairs are compared one by one.
 COLUMNS, FEW = 4096, 12
-#: Bits of the filter that spares texts without candidates the shuffle.
-FILTER_BITS = 1 << 22
+#: Values of the filter that spares texts without candidates the shuffle; bounds the broadcast of it to 8 MB of longs.
+FILTER_VALUES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -220,20 +220,15 @@ def confirmed(threshold: int, size: int):
     return run
 
 
-def may_contain(ids: DataFrame, id: str, column: str) -> Column:
-    """A test of ``column`` for the ids of ``ids``: true for each of them, and for a few others.
+def may_match(rows: DataFrame, id: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose id has a hash value of an id in ``wanted`` (one column): all that match, and a few others.
 
-    One bit stands for each of ``FILTER_BITS`` hash values, so the filter never grows; were most bits set, it would let
-    rows through that the join after it drops.
+    The values are dealt over ``FILTER_VALUES`` numbers, so the broadcast side is at most that many longs however many
+    ids are wanted; were most numbers taken, rows would pass that the join after it drops.
     """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
-    parts = ids.select(place(F.col(id)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    bits = bytearray(FILTER_BITS // 8)
-    for k, part in parts:
-        bits[(k - 1) * 4096:(k - 1) * 4096 + len(part)] = part
-    at = (place(F.col(column)) - 1).cast("int")
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    value = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_VALUES))
+    taken = wanted.select(value(F.col(wanted.columns[0])).alias("_v")).distinct()
+    return rows.withColumn("_v", value(F.col(id))).join(F.broadcast(taken), "_v", "left_semi").drop("_v")
 
 
 def groups(docs: DataFrame, size: int = 4, threshold: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,7 +245,8 @@ def groups(docs: DataFrame, size: int = 4, threshold: int = 80, id: str = "doc_i
     candidates = lists.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(collide, "a long, b long")
     near = components(candidates)
     dealt = blocks(near.withColumnRenamed("node", "rep"), "component", "rep")
-    texts = docs.select(F.col(f"`{id}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text")).filter(may_contain(near, "node", "rep"))
+    texts = docs.select(F.col(f"`{id}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
+    texts = may_match(texts, "rep", near.select("node"))
     links = dealt.join(texts, "rep").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(confirmed(threshold, size), "a long, b long")
     linked = components(links)
     named = classes.select("d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from narrata.session import release
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
 
@@ -38,6 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def forget(spark: SparkSession) -> int:
+    """Drop all shared tables of the session and delete what it has staged."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _shared if k[0] == app]:
+        del _shared[key]
+    return release(spark)
+
+
 def state_of(spark: SparkSession, folder: str) -> int:
     """A number that changes when files of ``folder`` come, go or change."""
     jvm = spark.sparkContext._jvm

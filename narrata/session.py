@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "narrata", master: str | None = None, **conf) -> SparkSession:
@@ -34,7 +36,7 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -54,9 +56,20 @@ def stage(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this session has staged so far; returns their number. Call it once results are written:
+    what reads a staged table fails from then on."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def small_rows(df: DataFrame):
     """Rows of a summary table on the driver: one row a class, or a fixed number of rows for each of a few values."""
     return df.collect()

@@ -132,3 +132,20 @@ def test_selection_round_trip(spark, tmp_path):
 def test_open_cells(spark):
     grid = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     assert [r["k"] for r in A.open_cells(grid, grid.filter("k = 'a'"), ["k", "v"]).collect()] == ["b"]
+
+
+def test_staged_tables_are_released_and_changed_inputs_noticed(spark, tmp_path):
+    import os
+
+    from narrata.plans import registry
+    from narrata.session import stage, staging_root
+
+    before = set(os.listdir(staging_root(spark)))
+    spark.range(3).write.parquet(f"{tmp_path}/in/t.parquet")
+    build = lambda: stage(registry.table(spark, f"{tmp_path}/in", "t"))
+    assert registry.shared(spark, f"{tmp_path}/in", "t", build).count() == 3
+    assert registry.shared(spark, f"{tmp_path}/in", "t", build).count() == 3
+    spark.range(5).write.mode("overwrite").parquet(f"{tmp_path}/in/t.parquet")
+    assert registry.shared(spark, f"{tmp_path}/in", "t", build).count() == 5
+    assert len(set(os.listdir(staging_root(spark))) - before) == 2
+    assert registry.forget(spark) >= 2 and not set(os.listdir(staging_root(spark))) - before

@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrata.llm.common import mixed, pieces, utf8, word_hashes
+from narrata.llm.common import mixed, pieces, tidy, utf8, word_hashes
 
 WINDOW = 10
 #: Bytes of text of a shard, of text hashed at once, and of benchmark text in a block.
-SHARD_BYTES, HASH_BYTES, BLOCK_BYTES = 16 << 20, 1 << 20, 8 << 20
+SHARD_BYTES, HASH_BYTES, BLOCK_BYTES = 4 << 20, 1 << 20, 8 << 20
 
 # Bytes that are no part of a word become 0, A-Z become a-z.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -219,7 +219,7 @@ def screen(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id: str
                 ["doc_id", "n_words", "n_hit", "items"])
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<long>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_words long, n_hit long, items array<long>")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -238,7 +238,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: st
                 yield batch.filter(pa.array(clean[at:at + batch.num_rows]))
                 at += batch.num_rows
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -282,5 +282,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id: str
                         out.append((ids[d], queries.names[k], p - first, at - begin, int(differ[0]) if len(differ) else n))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((),) * 5)], ["doc_id", "item_id", "doc_word", "item_word", "n_words"])
 
-    return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "doc_id long, item_id long, doc_word long, item_word long, n_words long")
+    return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidy(run), "doc_id long, item_id long, doc_word long, item_word long, n_words long")
 

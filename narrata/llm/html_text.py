@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrata.llm import boosting
-from narrata.llm.common import pieces
+from narrata.llm.common import pieces, tidy
 from narrata.llm.dom import Page
 from narrata.llm.page_grammar import Grammar
 
@@ -134,4 +134,4 @@ def texts(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(f"`{id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(tidy(run), "page_id long, url string, text string, n_chars long")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from narrata.llm import bigru
-from narrata.llm.common import pieces, utf8
+from narrata.llm.common import pieces, tidy, utf8
 
 SAMPLE_DOCS, WINDOWS, SPAN, FOLDS, TEXT_BYTES, LANES = 600, 3, 128, 5, 1 << 20, 512
 UNKNOWN = "und"
@@ -85,7 +85,7 @@ def identify(docs: DataFrame, languages: list[str], model: dict | None, text: st
 
     docs = docs.drop("lang_pred", "score")
     schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
-    found = docs.mapInArrow(run, schema) if model else docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+    found = docs.mapInArrow(tidy(run), schema) if model else docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     letters = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
     return found.withColumns({"lang_pred": F.when(letters, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(letters, F.col("score")).otherwise(0.0)})
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrata.llm.common import mixed, pieces, runs, stage, utf8, word_hashes
+from narrata.llm.common import mixed, pieces, runs, stage, tidy, utf8, word_hashes
 from narrata.llm.graph import components
 
 COORDINATES, MATCHES, BLOCK, TEXT_BYTES = 32, 14, 512, 1 << 20
@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(digest[0]), pa.array(digest[1]), lists], ["doc_id", "n_shingles", "d1", "d2", "signature"])
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, signature array<int>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, d1 long, d2 long, signature array<int>")
 
 
 class Forest:
@@ -242,12 +242,12 @@ def groups(docs: DataFrame, size: int = 4, threshold: int = 80, id: str = "doc_i
     first = F.slice("tokens", F.lit(1), F.size("tokens") - (MATCHES - 1))
     posts = stage(ranked.select("rep", F.explode(first).alias("t")).select("rep", F.col("t.token").alias("token")))
     lists = blocks(posts, "token", "rep").join(classes.select("rep", "signature"), "rep")
-    candidates = lists.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(collide, "a long, b long")
+    candidates = lists.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(tidy(collide), "a long, b long")
     near = components(candidates)
     dealt = blocks(near.withColumnRenamed("node", "rep"), "component", "rep")
     texts = docs.select(F.col(f"`{id}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
     texts = may_match(texts, "rep", near.select("node"))
-    links = dealt.join(texts, "rep").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(confirmed(threshold, size), "a long, b long")
+    links = dealt.join(texts, "rep").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(tidy(confirmed(threshold, size)), "a long, b long")
     linked = components(links)
     named = classes.select("d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(named, ["d1", "d2"], "left")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrata.llm.common import pieces
+from narrata.llm.common import pieces, tidy
 
 TEXT_BYTES = 2 << 20
 
@@ -37,7 +37,7 @@ def _map(docs: DataFrame, model: str, id: str, text: str, schema: str, columns:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays.values()], ["doc_id", *arrays])
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, {schema}")
+    return rows.mapInArrow(tidy(run), f"doc_id long, {schema}")
 
 
 def encode(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,7 +63,7 @@ def tokens(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text")
                 batch.column("doc_id"), pa.array([len(i) for i in found], pa.int64()), pa.array(found, pa.list_(pa.int32())), pa.array(exact, pa.bool_())], ["doc_id", "n_tokens", "ids", "exact"])
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, exact boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids array<int>, exact boolean")
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -75,7 +75,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
             texts = [encoder.decode(i or []) for i in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.withColumn("decoded", F.lit("")).schema)
+    return encoded.mapInArrow(tidy(run), encoded.withColumn("decoded", F.lit("")).schema)
 
 
 def digests(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrata.llm.common import RangeHash, mixed, pieces, stage, utf8
+from narrata.llm.common import RangeHash, mixed, pieces, stage, tidy, utf8
 
 SIZE, GRAM, WIDTH = 100, 16, 64
 CORE = SIZE - WIDTH + 1
@@ -211,15 +211,15 @@ def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sifted(rows: DataFrame) -> DataFrame:
     ordered = rows.repartition("core").sortWithinPartitions("core", "hull", "doc_id", "at")
-    return ordered.mapInArrow(sift, "core long, doc_id long, at long")
+    return ordered.mapInArrow(tidy(sift), "core long, doc_id long, at long")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, at): stretches of windows that have occurred before; ``docs`` has (doc_id, text)."""
-    found = stage(sifted(docs.mapInArrow(phrases, PARSE)))
+    found = stage(sifted(docs.mapInArrow(tidy(phrases), PARSE)))
     firsts = found.filter("core is not null").groupBy("doc_id").agg(F.collect_list(F.struct("core", "at")).alias("firsts"))
-    dictionary = docs.join(firsts, "doc_id").mapInArrow(entries, "core long, doc_id long, at long, data binary")
-    windows = stage(dictionary.repartition("core").sortWithinPartitions("core").mapInArrow(classes, PARSE))
+    dictionary = docs.join(firsts, "doc_id").mapInArrow(tidy(entries), "core long, doc_id long, at long, data binary")
+    windows = stage(dictionary.repartition("core").sortWithinPartitions("core").mapInArrow(tidy(classes), PARSE))
     late = sifted(windows.filter("core is not null")).filter("core is null")
     parts = [t.filter("core is null").select("doc_id", "at") for t in (found, windows, late)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -249,7 +249,7 @@ def cut(docs: DataFrame, id: str, text: str, columns, schema: str) -> DataFrame:
                 pairs.append((part, marks(at, len(part)) if len(at) else np.zeros(len(part), bool)))
             yield columns(batch, pairs)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from narrata.llm.common import pieces
+from narrata.llm.common import pieces, tidy
 from narrata.llm.token_codec import decode_frame, encode_frame
 
 END_ID, FRAME_TOKENS, TEXT_BYTES = 2, 1 << 22, 2 << 20
@@ -64,7 +64,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text:
             yield frame()
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(frames, FILE).write.parquet(path)
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(tidy(frames), FILE).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +80,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     pa.array([part] * len(docs), pa.int32()), pa.array([frame] * len(docs), pa.int32()), pa.array(docs, pa.int64()),
                     pa.array([raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["part", "frame", "doc_id", "tokens"])
 
-    return spark.read.schema(FILE).parquet(path).select("part", "frame", "data").mapInArrow(decoded, "part int, frame int, doc_id long, tokens binary")
+    return spark.read.schema(FILE).parquet(path).select("part", "frame", "data").mapInArrow(tidy(decoded), "part int, frame int, doc_id long, tokens binary")
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -98,7 +98,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
                     pa.array(ends[:-1]), pa.array(counts), pa.array(sums, pa.int64())], ["part", "frame", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     file = spark.read.schema(FILE).parquet(path)
-    docs = file.select("part", "frame", "data").mapInArrow(listed, "part int, frame int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    docs = file.select("part", "frame", "data").mapInArrow(tidy(listed), "part int, frame int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     # ids before each frame: those of earlier parts, from one row a part, and those of earlier frames of its part
     before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     frames = file.select("part", "frame", "n_tokens").withColumn("in_part", before(Window.partitionBy("part").orderBy("frame")))

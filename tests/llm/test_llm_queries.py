@@ -382,7 +382,7 @@ def test_near_duplicates(spark, docs, odd):
     rnd = random.Random(11)
     base = [rnd.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) + str(rnd.randrange(60)) for _ in range(120)]
     made = []
-    for i in range(900):
+    for i in range(400):
         words = list(base)
         for _ in range(rnd.choice((0, 1, 2, 3, 5, 8))):
             words[rnd.randrange(len(words))] = f"w{rnd.randrange(10**6)}"

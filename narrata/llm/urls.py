@@ -4,13 +4,16 @@ The URLs that a rule decides are the labelled rows: allowed ones train the model
 of rejected URLs. Each is a variable-order Markov model over characters with Witten-Bell smoothing, orders 0 to
 ``ORDER``: P(c | context) = (n(context c) + t(context) P(c | shorter context)) / (n(context) + t(context)), where t is
 the number of distinct characters seen after the context. The score of a URL is the difference of both
-log-likelihoods over its length, less a threshold halfway between the mean scores of accepted and rejected URLs.
+log-likelihoods over its length, less a threshold halfway between the mean scores of accepted and rejected URLs. The
+models read the whole URL (scheme, host, path, query and fragment), with A-Z lower-cased in the host alone; only the
+rules look at host and path.
 
 Only built-in functions are used. A model is a table of n-grams; URLs are counted once each with their number of
 pages, so that a host with many pages weighs by count and not by rows.
 
-Defined cases: a null URL, or one without ``://``, has an empty host and path and no rule; it has no character to
-judge and is allowed, as is every URL while one of both classes has no labelled row. Repeated rows keep their row.
+Defined cases: a null URL, or one without ``://``, has an empty host and path and no rule. A null or empty URL has no
+character to judge and is allowed, as is every URL while one of both classes has no labelled row. Repeated rows keep
+their row.
 A tied score (equal to the threshold) allows. An empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,6 +36,13 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(found(1), ASCII_UPPER, ASCII_LOWER), found(2)
 
 
+def whole(url: Column) -> Column:
+    """The URL with A-Z lower-cased in its host; null counts as empty."""
+    found = lambda group: F.regexp_extract(url, r"(?s)^(.*?://)([^/?#]*)(.*)$", group)
+    lowered = F.concat(found(1), F.translate(found(2), ASCII_UPPER, ASCII_LOWER), found(3))
+    return F.coalesce(F.when(F.contains(url, F.lit("://")), lowered).otherwise(url), F.lit(""))
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits, and its verdict; both null where none fits."""
     rule = verdict = F.lit(None).cast("string")
@@ -76,7 +86,7 @@ def judge(pages: DataFrame, id: str = "page_id", url: str = "url", rules=RULES)
     host, path = parts(F.col("url"))
     rows = pages.select(F.col(f"`{id}`").alias("page_id"), F.col(f"`{url}`").alias("url")).withColumns({"host": host, "path": path})
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "ruled": ruled, "key": F.concat("host", "path")})
+    rows = rows.withColumns({"rule": rule, "ruled": ruled, "key": whole(F.col("url"))})
     urls = stage(rows.groupBy("key", "ruled").agg(F.count("*").alias("n")))
     spelled = grams(urls, "key", ["key", "ruled", "n"])
     labelled = stage(spelled.groupBy("g").agg(
@@ -88,6 +98,6 @@ def judge(pages: DataFrame, id: str = "page_id", url: str = "url", rules=RULES)
     known = ends["allow"] is not None and ends["block"] is not None
     middle = (ends["allow"] + ends["block"]) / 2 if known else 0.0
     score = F.coalesce(F.col("raw") - middle, F.lit(0.0)) if known else F.lit(0.0)
-    # the same key has one rule result: rules look at host and path only
+    # the same key has one rule result: it holds the host and path that rules look at
     judged = rows.join(scores.select("key", "raw"), "key", "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(score >= 0, "allow").otherwise("block")).alias("verdict"), score.alias("score"))

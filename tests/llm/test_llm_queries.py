@@ -346,6 +346,20 @@ def test_urls(spark):
     assert {r.verdict for r in urls.judge(df.filter("page_id < 4")).collect()} == {"allow"}
 
 
+def test_url_verdicts_read_the_whole_url(spark):
+    words = ("casino", "poker", "slots", "bets")
+    made = [(i, f"http://a{i % 5}.example.net/en/p?page={i}") for i in range(40)] + [(100 + i, f"http://a{i % 5}.net/p?{words[i % 4]}={i}") for i in range(40)]
+    asked = {200: "http://b.de/p?page=7", 201: "HTTP://B.de/p?casino=7", 202: "http://B.DE/p?casino=7", 203: "http://b.de/p#poker=7", 204: "b.de/p?slots=9", 205: "b.de/p?page=9"}
+    df = spark.createDataFrame([*made, *asked.items(), (206, None), (207, "")], "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(df).collect()}
+    assert len(got) == len(made) + len(asked) + 2
+    assert {i: got[i].verdict for i in asked} == {200: "allow", 201: "block", 202: "block", 203: "block", 204: "block", 205: "allow"}
+    assert (got[201].host, got[201].path) == (got[200].host, got[200].path) == ("b.de", "/p") and got[201].score != got[202].score
+    assert all(got[i].verdict == "allow" and got[i].score == 0 for i in (206, 207))
+    found = [r.w for r in df.filter("page_id in (201, 204, 206)").orderBy("page_id").select(urls.whole(F.col("url")).alias("w")).collect()]
+    assert found == ["HTTP://b.de/p?casino=7", "b.de/p?slots=9", ""]
+
+
 def test_url_model_equals_plain_python(spark):
     import math
 

@@ -32,9 +32,13 @@ FEATURES = 26 + len(GROUPS) + 2 * len(SEMANTIC)
 
 
 class Page:
-    """Blocks in document order: ``parent``, ``tag``, ``tokens``, ``label`` and, for blocks with text, ``texts``."""
+    """Blocks in document order: ``parent``, ``tag``, ``tokens``, ``label`` and, for blocks with text, ``texts``.
 
-    def __init__(self, source: str):
+    Pages of the training grammar carry labels in ``data-y``; on a ``given`` page that attribute means nothing.
+    """
+
+    def __init__(self, source: str, given: bool = False):
+        self.given = given
         self.parent, self.tag, self.tokens, self.label = [-1], ["#root"], [()], [None]
         self.runs: list[tuple[int, list[str], int]] = []  # block, text parts, characters in links
         self._parse(source)
@@ -113,7 +117,7 @@ class Page:
                 for key, *values in ATTRIBUTE.findall(m.group(4)):
                     value = next((v for v in values if v), "")
                     if key.lower() == "data-y":
-                        label = int(value)
+                        label = label if self.given else int(value)
                     else:
                         found += TOKENS.findall(CAMEL.sub(r"\1 \2", value).lower())
                 tokens = tuple(dict.fromkeys(found))

@@ -61,7 +61,7 @@ def token_odds(pages: list[Page]) -> dict[str, float]:
 def fit(sources: list[str], seed: int = 3) -> tuple[boosting.Model, dict[str, float]]:
     grammar = Grammar(seed)
     made = [Page(grammar.page()) for _ in range(GRAMMAR_PAGES)]
-    given = [p for p in map(Page, sources) if own_label(p)]
+    given = [p for p in (Page(s, given=True) for s in sources) if own_label(p)]
     odds = token_odds(made)
     rows, labels, weights = [], [], []
     for pages, blind, weight in ((made, False, 1.0), (given, False, 1.0), (given[::2], True, 0.5)):
@@ -109,7 +109,7 @@ def decode(page: Page, score: np.ndarray) -> list[int]:
 
 
 def extract(sources: list[str], model: boosting.Model, odds: dict[str, float]) -> list[str]:
-    pages = [Page(s) for s in sources]
+    pages = [Page(s, given=True) for s in sources]
     x = [p.features(odds) for p in pages]
     score = model.scores(np.concatenate(x)) if x else np.zeros(0)
     ends = np.cumsum([len(f) for f in x])

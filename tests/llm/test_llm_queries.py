@@ -129,6 +129,19 @@ def test_main_text(spark):
     assert html_text.texts(empty(df)).count() == 0
 
 
+def test_main_text_of_pages_with_label_attributes(spark):
+    from narrata.llm.dom import Page
+
+    # the values of grids, charts and parallax effects are no labels, whatever they look like
+    values = ['"10.5"', '"50%"', '""', "0", "'1'", '"7"']
+    page = "<body{0}><nav{0}><a href='/'>Home</a></nav><article{0}><p{0}>{1}</p><div{0}><p>{1}</p></div></article><footer{0}>Legal</footer></body>"
+    prose = "A sentence of some length, with a comma. Another one follows it, and then it ends."
+    df = spark.createDataFrame([(i, page.format(f" data-y={v}" if v else "", prose)) for i, v in enumerate([None, *values])], "page_id long, html string").withColumn("url", F.lit("u"))
+    got = {r.page_id: r.text for r in html_text.texts(df).collect()}
+    assert len(got) == 1 + len(values) and set(got.values()) == {f"{prose} {prose}"}
+    assert set(Page(page.format(' data-y="1"', prose), given=True).label) == {None}
+
+
 def test_main_text_of_random_layouts():
     from narrata.llm.dom import Page
     from narrata.llm.page_grammar import Grammar

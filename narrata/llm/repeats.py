@@ -8,7 +8,7 @@ document) is removed, exactly, in six steps that are each a scan or one shuffle:
    alone, so equal windows have equal triggers. Windows in a row with one trigger form a phrase; the phrases of a
    document are its parse. Each phrase has a core (the bytes from its trigger on that all of its windows contain) and a
    hull (all bytes of its windows, which is the phrase with the start of the parse's next phrases).
-2. Parse. Phrases of equal core stand together in the order (core, hull, doc, place). Where the hull has occurred
+2. Parse. Phrases of equal core stand together in the order (core, hull, doc, key, place). Where the hull has occurred
    before, the whole phrase repeats. A core with a single hull has no other repeats.
 3. Dictionary. What is left are the first occurrences of distinct hulls that share a core: the dictionary entries
    whose suffixes have to be compared. Their bytes are fetched from the texts.
@@ -22,8 +22,9 @@ Only the phrases (one for some 29 bytes), the dictionary and the repeats are shu
 any size is sorted by Spark and read as a stream; nothing is collected.
 
 Defined cases: null and empty texts have no bytes and no windows; texts shorter than ``SIZE`` bytes lose nothing. Rows
-that share an id count as one document: they are not earlier than each other. Rows without an id keep their text and
-are no earlier place for others. Empty tables give empty results.
+that share an id are not earlier than each other, equal texts or not; each is told from the other by a hash of its
+text (``key``) and keeps its own places. Rows without an id keep their text and are no earlier place for others. Empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ TEXT_BYTES, STRETCH, SHARD = 1 << 20, 4 << 20, 8192
 INDEX_BITS = 23
 
 _one, _two = RangeHash(101), RangeHash(202)
-PARSE = "core long, hull long, doc_id long, at long"
+PARSE = "core long, hull long, doc_id long, key long, at long"
 
 
 def parse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,10 +77,10 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (core, hull, doc_id, at) of each text; ``at`` is the first window's place * 128 + the number of windows."""
+    """Rows (core, hull, doc_id, key, at) of each text; ``at`` is the first window's place * 128 + the number of windows."""
     for batch in pieces(batches, "text", TEXT_BYTES):
         data, offsets = utf8(batch.column("text"))
-        ids = batch.column("doc_id").to_numpy()
+        ids, keys = batch.column("doc_id").to_numpy(), batch.column("key").to_numpy()
         # a text over the stretch is parsed in parts that overlap by a window less one byte
         parts = [(data, offsets, 0)] if len(data) <= STRETCH else [
             (data[b:min(b + STRETCH + SIZE - 1, len(data))], np.array([0, min(STRETCH + SIZE - 1, len(data) - b)]), b) for b in range(0, len(data), STRETCH)]
@@ -87,20 +88,21 @@ def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin, count, core, hull = parse(part, ends)
             owner = np.searchsorted(ends, begin, "right") - 1
             at = (begin - ends[owner] + base) << 7 | count
-            yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(hull.view(np.int64)), pa.array(ids[owner]), pa.array(at)], ["core", "hull", "doc_id", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(hull.view(np.int64)), pa.array(ids[owner]), pa.array(keys[owner]), pa.array(at)], ["core", "hull", "doc_id", "key", "at"])
 
 
 def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in the order (core, hull, doc_id, at): repeats, with a null core, and firsts of hulls that share a core.
+    """From rows in the order (core, hull, doc_id, key, at): repeats, with a null core, and firsts that share a core.
 
-    The state between batches is the last row's key and at most one first that still waits for a second hull.
+    A hull has one first in each row (key) of its first doc. The state between batches is the last first and whether it
+    still waits for a second one of its core.
     """
-    last = None  # core, hull, doc and place of the first of the running hull
-    waiting = None  # that first's row while its core has one hull only
+    last = None  # core, hull, doc, key and place of the last first of the running hull
+    waiting = None  # that first's row while its core has no other
     for batch in batches:
         if not batch.num_rows:
             continue
-        core, hull, doc, at = (batch.column(c).to_numpy() for c in ("core", "hull", "doc_id", "at"))
+        core, hull, doc, key, at = (batch.column(c).to_numpy() for c in ("core", "hull", "doc_id", "key", "at"))
         n = len(core)
         new_core = np.ones(n, bool)
         new_core[1:] = core[1:] != core[:-1]
@@ -110,15 +112,20 @@ def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] |= hull[1:] != hull[:-1]
         if last is not None:
             new[0] |= hull[0] != last[1]
+        top = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+        other = doc == (np.where(top >= 0, doc[top], last[2]) if last is not None else doc[top])  # of the hull's first doc
+        other[1:] &= key[1:] != key[:-1]
+        other[0] &= last is not None and key[0] != last[3]
+        new |= other
         head = np.maximum.accumulate(np.where(new, np.arange(n), -1))
         running = head < 0
         first_doc, first_at = doc[np.maximum(head, 0)], at[np.maximum(head, 0)]
         if running.any():
-            first_doc[running], first_at[running] = last[2], last[3]
+            first_doc[running], first_at[running] = last[2], last[4]
         repeat = ~new & ((doc != first_doc) | (at != first_at))
         group = np.cumsum(new_core)  # 0: the core that ran over from before
         firsts = np.bincount(group[new], minlength=group[-1] + 1)
-        if firsts[0]:  # the running core has got another hull
+        if firsts[0]:  # the running core has got another first
             firsts[0] = 2
         send = new & (firsts[group] > 1)
         extra = [waiting] if waiting is not None and firsts[0] else []
@@ -127,21 +134,21 @@ def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = group[-1]
         if end and firsts[end] == 1:
             spot = int(np.flatnonzero(new)[-1])
-            waiting = (int(core[spot]), int(doc[spot]), int(at[spot]))
+            waiting = (int(core[spot]), int(doc[spot]), int(key[spot]), int(at[spot]))
         if new.any():
             spot = int(np.flatnonzero(new)[-1])
-            last = (core[spot], hull[spot], doc[spot], at[spot])
+            last = (core[spot], hull[spot], doc[spot], key[spot], at[spot])
         pick = repeat | send
-        columns = [core[pick], doc[pick], at[pick]]
+        columns = [core[pick], doc[pick], key[pick], at[pick]]
         mask = repeat[pick]
         if extra:
             columns = [np.append(c, extra[0][k]) for k, c in enumerate(columns)]
             mask = np.append(mask, False)
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], mask=mask), pa.array(columns[1]), pa.array(columns[2])], ["core", "doc_id", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], mask=mask), *map(pa.array, columns[1:])], ["core", "doc_id", "key", "at"])
 
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(core, doc_id, at, data): the bytes of the hulls that ``firsts`` (structs of core and at) of each text name."""
+    """(core, doc_id, key, at, data): the bytes of the hulls that ``firsts`` (structs of core and at) of each text name."""
     for batch in pieces(batches, "text", TEXT_BYTES):
         data, offsets = utf8(batch.column("text"))
         raw = data.tobytes()
@@ -152,10 +159,9 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(n)), n)
         begin = offsets[:-1][owner] + (at >> 7)
         end = begin + (at & 127) - 1 + SIZE
-        # a row of another document with the same id may be shorter
-        fits = end <= offsets[1:][owner]
-        bodies = [raw[a:b] for a, b in zip(begin[fits].tolist(), end[fits].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([core.filter(pa.array(fits)), pa.array(batch.column("doc_id").to_numpy()[owner][fits]), pa.array(at[fits]), pa.array(bodies, pa.binary())], ["core", "doc_id", "at", "data"])
+        bodies = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        doc, key = (pa.array(batch.column(c).to_numpy()[owner]) for c in ("doc_id", "key"))
+        yield pa.RecordBatch.from_arrays([core, doc, key, pa.array(at), pa.array(bodies, pa.binary())], ["core", "doc_id", "key", "at", "data"])
 
 
 def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -180,12 +186,13 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nda
 
 
 def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays of dictionary shards: (null, null, doc_id, at) of each window that repeats an earlier one of the
-    shard; and of cores with entries in several shards (core, hull, doc_id, at) of the first of each class, where core
-    and hull are now two fingerprints of the window."""
+    """Suffix arrays of dictionary shards: (null, null, doc_id, key, at) of each window that repeats an earlier one
+    of the shard; and of cores with entries in several shards (core, hull, doc_id, key, at) of the firsts of each class,
+    where core and hull are now two fingerprints of the window."""
     for shard, spread in shards(batches):
         data = np.frombuffer(b"".join(shard.column("data").to_pylist()) + bytes(8), np.uint8)
         doc, at = shard.column("doc_id").to_numpy(), shard.column("at").to_numpy()
+        key = shard.column("key").to_numpy() if "key" in shard.column_names else np.zeros(len(doc), np.int64)  # ids of one row each
         count = at & 127
         length = count - 1 + SIZE
         base = np.cumsum(length) - length
@@ -194,10 +201,12 @@ def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin, place = base[owner] + step, (at >> 7)[owner] + step
         words = np.lib.stride_tricks.sliding_window_view(data, 8)
         keys = [np.ascontiguousarray(words[begin + o]).view(">u8").ravel().astype(np.uint64) for o in [*range(0, SIZE - 8, 8), SIZE - 8]]
-        order = np.lexsort((place, doc[owner], *keys[::-1]))
+        order = np.lexsort((place, key[owner], doc[owner], *keys[::-1]))
         new = np.ones(len(order), bool)
         new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
-        window, where, whose = begin[order], place[order], doc[owner][order]
+        window, where, whose, row = begin[order], place[order], doc[owner][order], key[owner][order]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        new[1:] |= (whose[1:] == whose[head[1:]]) & (row[1:] != row[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
         repeat = (whose != whose[head]) | (where != where[head])
         pick = repeat | (new & spread[owner][order])
@@ -206,22 +215,22 @@ def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chosen, mask = window[pick], repeat[pick]
             yield pa.RecordBatch.from_arrays([
                 pa.array(_one.of(one, chosen, chosen + SIZE).view(np.int64), mask=mask), pa.array(_two.of(two, chosen, chosen + SIZE).view(np.int64), mask=mask),
-                pa.array(whose[pick]), pa.array(where[pick] << 7 | 1)], ["core", "hull", "doc_id", "at"])
+                pa.array(whose[pick]), pa.array(row[pick]), pa.array(where[pick] << 7 | 1)], ["core", "hull", "doc_id", "key", "at"])
 
 
 def sifted(rows: DataFrame) -> DataFrame:
-    ordered = rows.repartition("core").sortWithinPartitions("core", "hull", "doc_id", "at")
-    return ordered.mapInArrow(tidy(sift), "core long, doc_id long, at long")
+    ordered = rows.repartition("core").sortWithinPartitions("core", "hull", "doc_id", "key", "at")
+    return ordered.mapInArrow(tidy(sift), "core long, doc_id long, key long, at long")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, at): stretches of windows that have occurred before; ``docs`` has (doc_id, text)."""
+    """(doc_id, key, at): stretches of windows that have occurred before; ``docs`` has (doc_id, key, text)."""
     found = stage(sifted(docs.mapInArrow(tidy(phrases), PARSE)))
-    firsts = found.filter("core is not null").groupBy("doc_id").agg(F.collect_list(F.struct("core", "at")).alias("firsts"))
-    dictionary = docs.join(firsts, "doc_id").mapInArrow(tidy(entries), "core long, doc_id long, at long, data binary")
+    firsts = found.filter("core is not null").groupBy("doc_id", "key").agg(F.collect_list(F.struct("core", "at")).alias("firsts"))
+    dictionary = docs.join(firsts, ["doc_id", "key"]).mapInArrow(tidy(entries), "core long, doc_id long, key long, at long, data binary")
     windows = stage(dictionary.repartition("core").sortWithinPartitions("core").mapInArrow(tidy(classes), PARSE))
     late = sifted(windows.filter("core is not null")).filter("core is null")
-    parts = [t.filter("core is null").select("doc_id", "at") for t in (found, windows, late)]
+    parts = [t.filter("core is null").select("doc_id", "key", "at") for t in (found, windows, late)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -234,9 +243,10 @@ def marks(at: np.ndarray, n: int) -> np.ndarray:
 
 def cut(docs: DataFrame, id: str, text: str, columns, schema: str) -> DataFrame:
     """Rows of ``docs`` with what ``columns(bytes, covered, raw text)`` makes of each text."""
-    rows = docs.filter(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    gathered = repeated(rows).groupBy("doc_id").agg(F.collect_list("at").alias("_at")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(gathered, F.col(f"`{id}`") == F.col("_id"), "left").drop("_id")
+    key = F.xxhash64(F.col(f"`{text}`"))
+    rows = docs.filter(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").cast("long").alias("doc_id"), key.alias("key"), F.col(f"`{text}`").alias("text"))
+    gathered = repeated(rows).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_list("at").alias("_at"))
+    joined = docs.join(gathered, (F.col(f"`{id}`") == F.col("_id")) & (key == F.col("_key")), "left").drop("_id", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text, TEXT_BYTES):

@@ -263,6 +263,36 @@ def test_repeats(spark, docs, odd):
     assert repeats.digests(empty(odd)).count() == 0
 
 
+def test_repeats_of_different_texts_with_one_id(spark):
+    import random
+
+    def want(rows_):
+        before, out = set(), []
+        for d in sorted({d for d, _ in rows_}):
+            seen = set()  # rows of one id are not earlier than each other
+            for t in (t for i, t in rows_ if i == d):
+                own, gone = set(), bytearray(len(t))
+                for k in range(len(t) - 99):
+                    if t[k:k + 100] in before or t[k:k + 100] in own:
+                        gone[k:k + 100] = b"\1" * 100
+                    own.add(t[k:k + 100])
+                seen |= own
+                kept = "".join(c for c, g in zip(t, gone, strict=True) if not g)
+                out.append((d, len(t), sum(gone), sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone)), hashlib.sha256(kept.encode()).hexdigest()))
+            before |= seen
+        return sorted(out, key=repr)
+
+    rnd = random.Random(6)
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    old, one, other = word(150), word(400), word(130)
+    few = [(1, old), (2, one[:200] + old + one[200:]), (2, one), (2, other + one[150:330] + other), (3, other[:110] + one[:120])]
+    assert rows(repeats.digests(spark.createDataFrame(few, "doc_id long, text string"))) == want(few)
+    assert (2, one) in {(r.doc_id, r.text) for r in repeats.remove(spark.createDataFrame(few, "doc_id long, text string")).collect()}
+    base = [word(rnd.choice((101, 150, 300))) for _ in range(14)] + ["a" * 300]
+    many = [(rnd.randrange(40), "".join(rnd.choice(base)[rnd.randrange(30):] for _ in range(rnd.randrange(1, 5)))) for _ in range(160)]
+    assert rows(repeats.digests(spark.createDataFrame(many, "doc_id long, text string").repartition(5))) == want(many)
+
+
 def test_repeats_of_a_core_in_many_shards(spark):
     import random
 

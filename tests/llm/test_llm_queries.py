@@ -453,6 +453,22 @@ def test_near_duplicates(spark, docs, odd):
     assert kept.count() == sum(w[3] for w in brute.near_duplicates(made))
 
 
+def test_near_duplicates_of_a_group_over_several_chunks(spark):
+    import random
+
+    rnd = random.Random(11)
+    base = [rnd.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) + str(rnd.randrange(60)) for _ in range(120)]
+    made = []
+    for i in range(900):
+        words = list(base)
+        for _ in range(rnd.choice((0, 1, 2, 3, 5, 8))):
+            words[rnd.randrange(len(words))] = f"w{rnd.randrange(10**6)}"
+        made.append((i, " ".join(words)))
+    assert len({t for _, t in made}) > minhash.BLOCK  # more than one chunk of texts that differ
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert rows(minhash.groups(df)) == sorted(brute.near_duplicates(made), key=repr)
+
+
 def test_near_duplicate_filter_is_selective(spark):
     ids = spark.range(0, 1000, 10).withColumnRenamed("id", "node")
     passed = minhash.may_match(spark.range(0, 20000), "id", ids)

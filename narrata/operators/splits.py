@@ -28,11 +28,32 @@ def test_rows(n: int, test_size: float | int) -> int:
 
 
 def test_quotas(counts: DataFrame, label: str, n: int, n_test: int) -> DataFrame:
-    """``(label, quota)`` by largest remainder from ``(label, n)``; ties go to the first label, null before all."""
+    """``(label, quota)`` by largest remainder from ``(label, n)``; ties go to the first label, null before all.
+
+    The remainder at the cut is found by counting; of the classes that tie there only one range of labels is ranked.
+    """
     share = counts.select(label, F.expr(f"bigint({n_test}) * n div {n}").alias("_f"), F.expr(f"bigint({n_test}) * n % {n}").alias("_r"))
-    spare = F.lit(n_test) - F.sum("_f").over(Window.partitionBy(F.lit(0)))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_r"), F.asc_nulls_first(label)))
-    return share.select(label, (F.col("_f") + (place <= spare).cast("int")).alias("quota"))
+    whole, k = share.agg(F.sum("_f"), F.count("*")).first()
+    spare = n_test - whole
+    if not spare:
+        return share.select(label, F.col("_f").alias("quota"))
+    cut = order_statistics(share.select(F.lit(0).alias("g"), "_r"), "g", "_r", {0: [k - spare + 1]})[0, k - spare + 1]
+    above = share.filter(F.col("_r") > cut).count()
+    last = label_at(share.filter(F.col("_r") == cut).select(label), label, spare - above)
+    up_to = F.col(label).isNull() if last is None else F.col(label).isNull() | (F.col(label) <= F.lit(last).cast(counts.schema[label].dataType))
+    more = (F.col("_r") > cut) | ((F.col("_r") == cut) & up_to)
+    return share.select(label, (F.col("_f") + more.cast("int")).alias("quota"))
+
+
+def label_at(labels: DataFrame, label: str, position: int):
+    """The label at ``position`` (from 1) of distinct ``labels``, null before all: ranges are counted, one is ranked."""
+    ranged = stage(labels.repartitionByRange(F.asc_nulls_first(label)).withColumn("_p", F.spark_partition_id()))
+    for r in sorted(ranged.groupBy("_p").count().collect()):
+        if position <= r["count"]:
+            place = F.row_number().over(Window.partitionBy("_p").orderBy(F.asc_nulls_first(label)))
+            return ranged.filter(F.col("_p") == r["_p"]).withColumn("_k", place).filter(F.col("_k") == position).first()[label]
+        position -= r["count"]
+    raise ValueError("position is outside the labels")
 
 
 def split_cuts(df: DataFrame, id: str, label: str, test_size: float | int = 0.2, seed: int = 42,

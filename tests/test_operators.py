@@ -82,6 +82,20 @@ def test_split_counts_null_as_a_class(spark):
     assert {r["c"]: r["n"] for r in tied.filter("split = 'test'").groupBy("c").agg(F.count("*").alias("n")).collect()} == {None: 2, "a": 1}
 
 
+def test_split_quotas_of_many_classes_are_not_ranked_in_one_task(spark):
+    # two rows a class, and a few larger ones and null, so that many classes tie at the cut
+    sizes = {f"c{i:04d}": 2 for i in range(400)} | {None: 2, "x": 7, "y": 9, "z": 30}
+    n, n_test = sum(sizes.values()), SP.test_rows(sum(sizes.values()), 0.5 + 1e-3)
+    counts = spark.createDataFrame(list(sizes.items()), "c string, n bigint").repartition(4)
+    for test in (n_test, n // 2, n * 7 // 10, n // 5 + 200):
+        order = sorted(sizes, key=lambda c: (-(test * sizes[c] % n), c is not None, c or ""))
+        spare = test - sum(test * m // n for m in sizes.values())
+        want = {c: test * m // n + (c in order[:spare]) for c, m in sizes.items()}
+        quotas = SP.test_quotas(counts, "c", n, test)
+        assert {r["c"]: r["quota"] for r in quotas.collect()} == want and sum(want.values()) == test
+        assert "Window" not in quotas._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_chronological_split_with_one_hot_day(spark):
     df = spark.createDataFrame([(i, "2020-01-01" if i < 90 else f"2020-01-{i - 88:02d}") for i in range(100)], "id bigint, d string")
     out = SP.mark_chronological(df, "id", "d", 0.5)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm import archive, decontaminate, html_text, language, minhash, pieces, quality, repeats, token_files, urls
+from narrata.llm import archive, decontaminate, html_text, language, merkle, minhash, periodic, pieces, quality, repeats, token_files, urls
 from narrata.llm.common import table
 from narrata.llm.sql import TWINS  # noqa: F401
 from narrata.session import staging_root
@@ -85,3 +85,20 @@ def op6_repeats(spark, sf_dir):
 @query
 def op3_html_text(spark, sf_dir):
     return html_text.texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    found = merkle.manifest(docs, changed={"n_chars": F.when(drawn, more).otherwise(F.col("n_chars").cast("decimal(21,0)"))})
+    folded = merkle.folded(F.col("other"), F.col("steps"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return periodic.digests(periodic.runs(docs.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))))

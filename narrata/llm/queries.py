@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm import archive, decontaminate, html_text, language, merkle, minhash, periodic, pieces, quality, repeats, token_files, urls
+from narrata.llm import archive, decontaminate, html_text, language, merkle, minhash, periodic, personal, pieces, quality, repeats, token_files, urls
 from narrata.llm.common import table
 from narrata.llm.sql import TWINS  # noqa: F401
 from narrata.session import staging_root
@@ -98,6 +98,14 @@ def op11_manifest(spark, sf_dir):
         "verified", F.col("folded_root") == F.col("root"))
 
 
+@query
+def op12_personal_data(spark, sf_dir):
+    found = personal.find(table(spark, sf_dir, "documents"))
+    said = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[number(k) for k in personal.KINDS], F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -34,6 +34,11 @@ def lines(*parts) -> Column:
     return F.concat(F.concat_ws("\r\n", *parts), F.lit("\r\n\r\n"))
 
 
+def target(url: Column) -> Column:
+    """A URL as a header value: carriage returns and line feeds, which would end the line, are percent-encoded."""
+    return F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
 def write(pages: DataFrame, path: str, record_id: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> None:
     """Write the archive of ``pages`` to ``path``. Payloads shorter than ``least`` bytes never become revisits.
 
@@ -56,7 +61,7 @@ def write(pages: DataFrame, path: str, record_id: str = "page_id", url: str = "u
             F.lit("WARC/1.1"),
             F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
             F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(F.col("record_id").cast("string"), F.lit("none")), F.lit(">")),
-            F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", "[\r\n]", "")),
+            F.concat(F.lit("WARC-Target-URI: "), target(F.col("url"))),
             F.lit(f"WARC-Date: {DATE}"),
             F.concat(F.lit("WARC-Payload-Digest: sha1:"), "digest"),
             F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
@@ -69,10 +74,11 @@ def write(pages: DataFrame, path: str, record_id: str = "page_id", url: str = "u
     known.select("record_id", "address", header.alias("header")).write.parquet(f"{path}/headers")
 
 
-def field(name: str) -> Column:
-    """The value of a header line, null without such a line."""
-    found = F.regexp_extract("header", f"(?m)^{name}: ([^\r\n]*)", 1)
-    return F.when(found != "", found)
+def field(name: str, header: str = "header") -> Column:
+    """The value of a line of the first header block, null without such a line. Only CR LF ends a line."""
+    block = F.split(F.substring_index(header, "\r\n\r\n", 1), "\r\n")
+    start = f"{name}: "
+    return F.substring(F.get(F.filter(block, lambda line: line.startswith(start)), F.lit(0)), len(start) + 1, 2**31 - 1)
 
 
 def payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -88,18 +94,24 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, warc): every original record, header and payload joined again."""
-    whole = headers(spark, path).join(payloads(spark, path), "address")
+    """(record_id, warc, payload_bytes, payload_digest): every original record, header and payload joined again, and what its
+    stored payload says. Payloads are digested once, before the join."""
+    stored = payloads(spark, path).select("address", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
+    whole = headers(spark, path).join(stored, "address")
     body = F.when(field("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return whole.select("record_id", F.concat(F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n")).alias("warc"))
+    return whole.select("record_id", F.concat(F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n")).alias("warc"), "payload_bytes", "payload_digest")
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """Per record what its header and its stored payload say. Payloads are digested where they lie; only digests are joined."""
-    facts = payloads(spark, path).select("address", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
+    """Per record what its reconstructed bytes say. A record whose header names another digest than that of its payload, or
+    whose own body has another, ends the job."""
+    header = F.substring_index(F.col("warc").cast("string"), "\r\n\r\n", 1)
+    rows = records(spark, path).withColumn("header", header)
     number = lambda name: F.regexp_extract(field(name), r"<urn:page:(-?\d+)>", 1).try_cast("long")
-    return headers(spark, path).join(facts, "address").select(
-        number("WARC-Record-ID").alias("page_id"), "payload_bytes", "payload_digest", field("WARC-Type").alias("record_type"),
+    own = F.substring(F.col("warc"), F.octet_length("warc") - 3 - F.col("payload_bytes").cast("int"), F.col("payload_bytes").cast("int"))
+    said = field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))
+    right = said & ((field("WARC-Type") == "revisit") | (base32_sha1(own) == F.col("payload_digest")))
+    digest = F.when(right, F.col("payload_digest")).otherwise(F.raise_error(F.concat(F.lit("archive record does not fit its payload: "), "header")))
+    return rows.select(
+        number("WARC-Record-ID").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), field("WARC-Type").alias("record_type"),
         number("WARC-Refers-To").alias("refers_to"), field("WARC-Target-URI").alias("url"))
-
-

@@ -91,7 +91,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class RangeHash:
     """64-bit polynomial hashes of any byte range of one buffer, from prefix sums modulo 2**64.
 
-    Each byte value stands for a random word, so that ranges differ in the sum unless 64 random bits agree.
+    Each byte value stands for a random word. Meant for short ranges: strings of a thousand bytes can be made to collide
+    under any base, and ``range_hashes`` is there for ranges of any length.
     """
 
     def __init__(self, seed: int):
@@ -117,7 +118,24 @@ class RangeHash:
         return (sums[stop] - sums[start]) * self.inverses[start]
 
 
-_words = RangeHash(2024)
+_keys = np.random.default_rng(2024).integers(0, 2**63, 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ends = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 9))], np.uint64)
+
+
+def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges that are not empty: each eight bytes are scrambled with their place in the range, and the
+    sum is scrambled with the range's length. No structure of the bytes makes two sums agree, as it does for polynomials."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
+    size = end - begin
+    lanes = (size + 7) >> 3
+    first = np.cumsum(lanes) - lanes
+    lane = np.arange(lanes.sum()) - np.repeat(first, lanes)
+    at = np.repeat(begin, lanes) + 8 * lane
+    value = eights[at] & _ends[np.minimum(np.repeat(end, lanes) - at, 8)]
+    value = mixed(mixed(value ^ _keys[0]) + mixed(lane.astype(np.uint64) + _keys[1]))
+    total = np.add.reduceat(value, first) if len(first) else value
+    return mixed(total ^ (size.astype(np.uint64) * _keys[0]))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +151,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray, fold:
     heads, tails = offsets[:-1][full], offsets[1:][full] - 1
     opening[heads], closing[tails] = inside[heads], inside[tails]
     begin, end = np.flatnonzero(opening), np.flatnonzero(closing) + 1
-    return mixed(_words.of(_words.prepare(fold[data]), begin, end)), np.diff(np.searchsorted(begin, offsets))
+    return range_hashes(fold[data], begin, end), np.diff(np.searchsorted(begin, offsets))
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

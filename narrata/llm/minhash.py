@@ -6,10 +6,13 @@
    ``MATCHES`` common tokens share one of the first ``shared - MATCHES + 1`` in the order (frequency, token), so
    frequent tokens are skipped as a rule.
 3. Each list of posts counts the collisions of its members, whole signatures against each other, and gives a spanning
-   forest of the pairs with ``MATCHES`` collisions or more. Lists over ``BLOCK`` members are cut to pairs of chunks.
-4. Members of a connected component of these pairs are confirmed against each other on their full sets, in pairs of
-   chunks where there are many. The confirmed links again leave a task as a spanning forest, which keeps every
-   reachability: no list of all pairs is ever made.
+   forest of the pairs with ``MATCHES`` collisions or more.
+4. Members of a connected component of these pairs are confirmed against each other on their full sets. The confirmed
+   links again leave a task as a spanning forest, which keeps every reachability: no list of all pairs is ever made.
+
+Lists and components over ``BLOCK`` members are first compared with their smallest member: one row a member, one edge at
+most. What stays apart from it is then compared with everything, in pairs of chunks (see ``linked``): where r of m members
+stay apart, a chunk of ``BLOCK`` costs r / ``BLOCK`` copies, and no edge repeats a connection that is known.
 
 ``MATCHES`` = 14 of 32 misses a pair at exactly 80 % with a probability of some 1e-6, and closer pairs less.
 
@@ -20,11 +23,11 @@ id takes part in no group: its component is null and it is kept. Empty tables gi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrata.llm.common import mixed, pieces, runs, stage, tidy, utf8, word_hashes
@@ -89,10 +92,11 @@ def signatures(docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
 
 
 class Forest:
-    """Union-find over the members of one block."""
+    """Union-find over the members of one block; members of one ``root`` are together from the start."""
 
-    def __init__(self, n: int):
-        self.up = list(range(n))
+    def __init__(self, roots: np.ndarray):
+        _, first, same = np.unique(roots, return_index=True, return_inverse=True)
+        self.up = first[same].tolist()
 
     def root(self, x: int) -> int:
         while self.up[x] != x:
@@ -108,42 +112,88 @@ class Forest:
     def add(self, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
         """The pairs that join what was apart; pairs within one tree are dropped wholesale every so often."""
         while len(left):
+            roots = np.array([self.root(x) for x in range(len(self.up))])
+            apart = roots[left] != roots[right]
+            left, right = left[apart], right[apart]
             for a, b in zip(left[:2000].tolist(), right[:2000].tolist(), strict=True):
                 if self.join(a, b):
                     yield a, b
             left, right = left[2000:], right[2000:]
-            if len(left):
-                roots = np.array([self.root(x) for x in range(len(self.up))])
-                apart = roots[left] != roots[right]
-                left, right = left[apart], right[apart]
 
 
-def blocks(members: DataFrame, group: str, id: str) -> DataFrame:
-    """``members`` dealt to blocks (group, i, j): one for a small group, else one for each pair of its chunks."""
-    sizes = members.groupBy(group).agg(F.count("*").alias("_n")).filter("_n > 1")
-    chunks = F.ceil(F.col("_n") / BLOCK).cast("int")
-    dealt = members.join(sizes, group).withColumn("_c", chunks).withColumn("side", F.pmod(F.xxhash64(id), F.col("_c")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_c") - 1))
-    return dealt.withColumn("_o", other).withColumn("i", F.least("side", "_o")).withColumn("j", F.greatest("side", "_o")).drop("_n", "_c", "_o")
+def sides(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The members to compare with each other: all with all where i = j, else those of side i with those of side j."""
+    i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+    if i == j:
+        return (np.arange(block.num_rows),) * 2
+    side = block.column("side").to_numpy()
+    return np.flatnonzero(side == i), np.flatnonzero(side == j)
+
+
+def chunks(n: Column) -> Column:
+    return F.ceil(n / BLOCK).cast("int")
+
+
+def linked(members: DataFrame, payload: DataFrame, compare: Callable) -> DataFrame:
+    """Edges (a, b) that connect what ``compare`` links among the ``members`` (grp, rep) of each group.
+
+    ``compare`` maps blocks, in the order of (grp, i, j), to edges between members that no earlier edge connects. A group
+    of ``BLOCK`` members at most is one block. A larger one is first compared with its smallest member alone, in chunks: one
+    row a member and one of the centre per chunk. Only members which that leaves apart from the centre are then compared
+    with all others, in pairs of chunks, knowing what is connected already.
+    """
+    sizes = stage(members.groupBy("grp").agg(F.count("*").alias("n"), F.min("rep").alias("centre")).filter("n > 1"))
+    sized = members.join(sizes, "grp")
+    zero, out = F.lit(0), F.lit(-1)
+
+    def block(rows: DataFrame, i: Column, j: Column, side: Column, root: Column) -> DataFrame:
+        return rows.select("grp", i.alias("i"), j.alias("j"), side.alias("side"), root.alias("root"), "rep")
+
+    def compared(blocks: DataFrame) -> DataFrame:
+        keys = ["grp", "i", "j"]
+        dealt = blocks.join(payload, "rep").repartition(*keys).sortWithinPartitions(*keys)
+        return dealt.mapInArrow(tidy(compare), "a long, b long")
+
+    part = lambda n: F.pmod(F.xxhash64("rep"), chunks(n)).cast("int")
+    large = sized.filter((F.col("n") > BLOCK) & (F.col("rep") != F.col("centre")))
+    centres = sizes.filter(F.col("n") > BLOCK).select("grp", F.col("centre").alias("rep"), F.explode(F.sequence(zero, chunks(F.col("n")) - 1)).alias("_k"))
+    whole = block(sized.filter(F.col("n") <= BLOCK), zero, zero, zero, F.col("rep"))
+    star = block(large, part(F.col("n")), out, out, F.col("rep")).unionByName(block(centres, F.col("_k"), out, F.col("_k"), F.col("rep")))
+    found = stage(compared(whole.unionByName(star)))
+    if sizes.filter(F.col("n") > BLOCK).isEmpty():
+        return found
+    roots = components(found).select(F.col("node").alias("rep"), F.col("component").alias("root"))
+    named = stage(sized.filter(F.col("n") > BLOCK).join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
+    core = named.filter(F.col("rep") == F.col("centre")).select("grp", F.col("root").alias("core"))
+    split = named.drop("n", "centre").join(core, "grp").withColumn("apart", F.col("root") != F.col("core"))
+    counts = split.groupBy("grp").agg(F.sum(F.col("apart").cast("int")).alias("r"), F.sum((~F.col("apart")).cast("int")).alias("l")).filter("r > 0")
+    split = stage(split.join(counts, "grp"))
+    if split.isEmpty():
+        return found
+    lists = lambda n: F.sequence(zero, chunks(F.col(n)) - 1)
+    rest = split.filter("apart").withColumn("_k", part(F.col("r")))
+    with_rest = block(rest.withColumn("_o", F.explode(lists("r"))), F.least("_k", "_o"), F.greatest("_k", "_o"), F.col("_k"), F.col("root"))
+    with_core = block(rest.withColumn("_o", F.explode(lists("l"))), F.col("_k"), -1 - F.col("_o"), F.col("_k"), F.col("root"))
+    core_side = split.filter("not apart").withColumn("_k", -1 - part(F.col("l"))).withColumn("_o", F.explode(lists("r")))
+    blocks = with_rest.unionByName(with_core).unionByName(block(core_side, F.col("_o"), F.col("_k"), F.col("_k"), F.col("root")))
+    return found.unionByName(compared(blocks))
 
 
 def collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning forests of the pairs whose signatures agree in ``MATCHES`` coordinates, block by block."""
     out: list[tuple[int, int]] = []
-    for block in runs(batches, ["token", "i", "j"]):
-        n = block.num_rows
-        if n > 1:
-            ids, side = block.column("rep").to_pylist(), block.column("side").to_numpy()
-            signature = pc_flat(block.column("signature")).reshape(n, COORDINATES)
-            left = np.flatnonzero(side == side.min()) if block.column("i")[0] != block.column("j")[0] else np.arange(n)
-            right = np.setdiff1d(np.arange(n), left) if len(left) < n else left
+    for block in runs(batches, ["grp", "i", "j"]):
+        left, right = sides(block)
+        if len(left) and len(right) and block.num_rows > 1:
+            ids = block.column("rep").to_pylist()
+            signature = pc_flat(block.column("signature")).reshape(block.num_rows, COORDINATES)
             agree = np.zeros((len(left), len(right)), np.int16)
             for k in range(COORDINATES):
                 agree += signature[left, k][:, None] == signature[right, k][None, :]
             a, b = np.nonzero(agree >= MATCHES)
             a, b = left[a], right[b]
             apart = a < b if left is right else a != b
-            out += [(ids[x], ids[y]) for x, y in Forest(n).add(a[apart], b[apart])]
+            out += [(ids[x], ids[y]) for x, y in Forest(block.column("root").to_numpy()).add(a[apart], b[apart])]
         if len(out) > 50_000:
             yield pairs_batch(out)
             out = []
@@ -190,12 +240,12 @@ def confirmed(threshold: int, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
-        for block in runs(batches, ["component", "i", "j"]):
+        for block in runs(batches, ["grp", "i", "j"]):
             n = block.num_rows
             values, counts = shingle_sets(block.column("text").combine_chunks(), size)
             sets, ids = np.split(values, np.cumsum(counts)[:-1]), block.column("rep").to_pylist()
-            forest, side = Forest(n), block.column("side").to_numpy()
-            if n <= FEW:
+            forest, (left, right) = Forest(block.column("root").to_numpy()), sides(block)
+            if left is right and n <= FEW:
                 for x in range(n):
                     for y in range(x):
                         small, large = sorted((counts[x], counts[y]))
@@ -203,9 +253,7 @@ def confirmed(threshold: int, size: int):
                             same = len(sets[x]) + len(sets[y]) - len(np.union1d(sets[x], sets[y]))
                             if 100 * same >= threshold * (counts[x] + counts[y] - same) and forest.join(x, y):
                                 out.append((ids[x], ids[y]))
-            else:
-                left = np.flatnonzero(side == side.min()) if block.column("i")[0] != block.column("j")[0] else np.arange(n)
-                right = np.setdiff1d(np.arange(n), left) if len(left) < n else left
+            elif len(left) and len(right):
                 same = common_counts(sets, left, right).astype(np.int64)
                 a, b = np.nonzero(100 * same >= threshold * (counts[left][:, None] + counts[right][None, :] - same))
                 a, b = left[a], right[b]
@@ -241,15 +289,13 @@ def groups(docs: DataFrame, size: int = 4, threshold: int = 80, id: str = "doc_i
     ranked = tokens.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens")).filter(F.size("tokens") >= MATCHES)
     first = F.slice("tokens", F.lit(1), F.size("tokens") - (MATCHES - 1))
     posts = stage(ranked.select("rep", F.explode(first).alias("t")).select("rep", F.col("t.token").alias("token")))
-    lists = blocks(posts, "token", "rep").join(classes.select("rep", "signature"), "rep")
-    candidates = lists.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(tidy(collide), "a long, b long")
+    candidates = linked(posts.withColumnRenamed("token", "grp"), classes.select("rep", "signature"), collide)
     near = components(candidates)
-    dealt = blocks(near.withColumnRenamed("node", "rep"), "component", "rep")
     texts = docs.select(F.col(f"`{id}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
     texts = may_match(texts, "rep", near.select("node"))
-    links = dealt.join(texts, "rep").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(tidy(confirmed(threshold, size)), "a long, b long")
-    linked = components(links)
-    named = classes.select("d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    links = linked(near.select(F.col("component").alias("grp"), F.col("node").alias("rep")), texts, confirmed(threshold, size))
+    grouped = components(links)
+    named = classes.select("d1", "d2", "rep").join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(named, ["d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -257,5 +303,7 @@ def groups(docs: DataFrame, size: int = 4, threshold: int = 80, id: str = "doc_i
 
 def remove(docs: DataFrame, size: int = 5, threshold: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each group, that of the smallest id."""
-    gone = groups(docs, size, threshold, id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id}`") == F.col("_gone"), "left_anti")
+    found = groups(docs, size, threshold, id, text).filter(~F.col("kept")).select("doc_id").distinct()
+    name = "_gone" + "_" * max(map(len, docs.columns))  # longer than any column of ``docs``
+    gone = found.withColumnRenamed("doc_id", name)
+    return docs.join(gone, F.col(f"`{id}`").cast("long") == F.col(name), "left_anti")

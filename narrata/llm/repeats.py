@@ -243,10 +243,14 @@ def marks(at: np.ndarray, n: int) -> np.ndarray:
 
 def cut(docs: DataFrame, id: str, text: str, columns, schema: str) -> DataFrame:
     """Rows of ``docs`` with what ``columns(bytes, covered, raw text)`` makes of each text."""
-    key = F.xxhash64(F.col(f"`{text}`"))
-    rows = docs.filter(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").cast("long").alias("doc_id"), key.alias("key"), F.col(f"`{text}`").alias("text"))
+    # columns go by their place, whatever they are called
+    names = docs.columns
+    aside = docs.select(*[F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(names)])
+    id, text = f"c{names.index(id)}", f"c{names.index(text)}"
+    key = F.xxhash64(text)
+    rows = aside.filter(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
     gathered = repeated(rows).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_list("at").alias("_at"))
-    joined = docs.join(gathered, (F.col(f"`{id}`") == F.col("_id")) & (key == F.col("_key")), "left").drop("_id", "_key")
+    joined = aside.join(gathered, (F.col(id).cast("long") == F.col("_id")) & (key == F.col("_key")), "left").drop("_id", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text, TEXT_BYTES):
@@ -269,7 +273,7 @@ def digests(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         sums = [hashlib.sha256(data[~gone].tobytes()).hexdigest() for data, gone in pairs]
         spans = [int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum()) for _, gone in pairs]
         numbers = [pa.array([f(data, gone) for data, gone in pairs], pa.int64()) for f in (lambda d, g: len(d), lambda d, g: int(g.sum()))]
-        return pa.RecordBatch.from_arrays([batch.column(id).cast(pa.int64()), *numbers, pa.array(spans, pa.int64()), pa.array(sums, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *numbers, pa.array(spans, pa.int64()), pa.array(sums, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return cut(docs.select(id, text), id, text, columns, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -280,13 +284,13 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
     def columns(batch, pairs):
         kept = []
-        for valid, (data, gone) in zip(batch.column(text).is_valid().to_pylist(), pairs, strict=True):
+        for valid, (data, gone) in zip(batch.column(names.index(text)).is_valid().to_pylist(), pairs, strict=True):
             if valid and gone.any():
                 lead = (data & 0xC0) != 0x80
                 char = np.cumsum(lead) - 1
                 whole = np.bincount(char, gone) == np.bincount(char)
                 data = data[~whole[char]]
             kept.append(data.tobytes().decode() if valid else None)
-        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if n == text else batch.column(n) for n in names], names)
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if n == text else batch.column(k) for k, n in enumerate(names)], names)
 
     return cut(docs, id, text, columns, docs.schema)

@@ -9,7 +9,7 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
   array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, (5 * i + 1)::INT, 5))::INT >> b::INT) & 31) + 1, 1)), '')), '') AS payload_digest,
   CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> f THEN f END AS refers_to, regexp_replace(url, '[\\r\\n]', '', 'g') AS url
+  CASE WHEN page_id <> f THEN f END AS refers_to, replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS url
 FROM d"""
 
 DECONTAMINATE = rf"""

@@ -106,6 +106,17 @@ def test_web_archive(spark, tmp_path):
     assert archive.listing(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_web_archive_of_odd_urls(spark, tmp_path):
+    odd = ["u\u2028WARC-Refers-To: <urn:page:77>", "u\u0085WARC-Type: revisit", "", None, "a\r\nWARC-Type: revisit\r\n\r\nx", "\t", "a%20b", "x" * 5000]
+    df = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(odd)] + [(90, odd[0], "page 0"), (None, "n", "page 1"), (91, "m", "p" * 200_000)], "page_id long, url string, html string")
+    archive.write(df, f"{tmp_path}/a")
+    got = {r.page_id: r for r in archive.listing(spark, f"{tmp_path}/a").collect()}
+    for i, u in enumerate(odd):
+        assert (got[i].url, got[i].record_type, got[i].refers_to) == (u and u.replace("\r", "%0D").replace("\n", "%0A"), "response", None)
+    assert (got[90].record_type, got[90].refers_to, got[90].url) == ("revisit", 0, odd[0]) and (got[None].record_type, got[None].refers_to) == ("revisit", 1)
+    assert got[91].payload_bytes == 200_000
+
+
 def test_archive_refuses_wrong_payload(spark, tmp_path):
     spark.createDataFrame([("00", bytearray(b"x"))], "address string, payload binary").write.parquet(f"{tmp_path}/bad/payloads")
     with pytest.raises(Exception, match="does not fit"):
@@ -432,6 +443,64 @@ def test_url_model_equals_plain_python(spark):
     assert set(got) == grams and all(abs(got[g] - math.log(prob("a", g) / prob("r", g))) < 1e-9 for g in grams)
 
 
+def test_word_hashes_of_structured_words(spark):
+    a = "ab"
+    while len(a) < 1024:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    made = [(1, a), (2, b), (3, a + " x y z"), (4, b + " x y z"), (5, "a" * 3000), (6, "a" * 3001), (7, "\x00"), (8, "\x00\x00")]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert rows(minhash.groups(df)) == sorted(brute.near_duplicates(made), key=repr)
+    found = {r.doc_id: r.n_hit for r in decontaminate.screen(df, spark.createDataFrame([(1, a), (2, "a" * 3000)], "item_id long, text string")).collect()}
+    assert found == {1: 1, 2: 0, 3: 1, 4: 0, 5: 1, 6: 0, 7: 0, 8: 0}
+
+
+@pytest.mark.parametrize("block", [3, 16])
+def test_large_groups_in_chunks_equal_brute_force(spark, monkeypatch, block):
+    import random
+
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "FEW", 2)
+    rnd = random.Random(block)
+    made, words = [], [f"w{i}" for i in range(40)]
+    for start in range(3):  # drifting chains: what is far from the smallest member hangs on by others
+        text = [rnd.choice(words) + str(start) for _ in range(60)]
+        for _ in range(45):
+            made.append(" ".join(text))
+            text[rnd.randrange(60)] = rnd.choice(words)
+    rnd.shuffle(made)
+    pairs = list(enumerate(made))
+    assert rows(minhash.groups(spark.createDataFrame(pairs, "doc_id long, text string"))) == sorted(brute.near_duplicates(pairs), key=repr)
+
+
+def test_edges_of_one_large_group_are_few(spark):
+    import random
+
+    rnd = random.Random(7)
+    text = [f"w{rnd.randrange(400)}" for _ in range(300)]
+    made = []
+    for i in range(3000):
+        copy = list(text)
+        copy[rnd.randrange(300)] = f"n{i}"
+        made.append((i, " ".join(copy)))
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    signed = minhash.signatures(df, 4, "doc_id", "text").select(F.col("doc_id").alias("rep"), "signature")
+    members = signed.select(F.lit(0).cast("long").alias("grp"), "rep")
+    edges = minhash.linked(members, signed.select("rep", "signature"), minhash.collide)
+    assert 2999 <= edges.count() < 2 * 3000
+    assert {r.component_id for r in minhash.groups(df).collect()} == {0}
+
+
+def test_clashing_columns_survive_removal(spark):
+    text = "the quick brown fox jumps over the lazy dog again and again until the evening comes and all is quiet in the yard " * 2
+    names = "_gone _id _key _at key c0 c1 kept component rep grp root"
+    df = spark.createDataFrame([(1, text, *range(12)), (2, text, *range(12)), (3, "x " + text, *range(12)), (None, None, *range(12))], "doc_id long, text string, " + ", ".join(f"{n} long" for n in names.split()))
+    assert minhash.remove(df).columns == df.columns and {r.doc_id for r in minhash.remove(df).collect()} == {1, None}
+    cut = repeats.remove(df)
+    assert cut.schema == df.schema and {r.doc_id: len(r.text or "") for r in cut.collect()}[1] > 50
+    assert all((r._id, r._key, r._at, r.c0, r.c1) == (1, 2, 3, 5, 6) for r in cut.collect())
+
+
 def test_near_duplicates(spark, docs, odd):
     assert rows(run(spark, "op9_near_duplicates")) == sorted(brute.near_duplicates(docs), key=repr)
     import random

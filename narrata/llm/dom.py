@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -22,8 +23,12 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 LIST_SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 GROUPS = ("p", "h1 h2 h3 h4 h5 h6", "li", "ul ol menu dl", "div section", "article", "main", "nav", "header", "footer", "aside", "form fieldset", "table tbody tr td th", "blockquote pre figure figcaption", "#run", "body html")
 
-TAG = re.compile(r"<!--(.*?)(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: One scan: a tag ends at the first ``>`` outside a quoted value, and a value is quoted only right after its equals sign; what
+#: does not end before the page does is a tag all the same.
+TAG = re.compile(r"<!--(.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+ENDED = re.compile(r"[\s/>]|\Z")
+NAMED = frozenset("class id role itemprop data-y".split())
 TOKENS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 GROUP_OF = {tag: k for k, tags in enumerate(GROUPS) for tag in tags.split()}
@@ -46,11 +51,17 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("#root", 0)]
+        opened: Counter[str] = Counter()  # how many of a name are on the stack
         parts: list[str] = []
         linked = links = 0
         lower = None
         at = 0
 
+        def cut(k: int) -> None:
+            for tag, _ in stack[k:]:
+                opened[tag] -= 1
+            del stack[k:]
+
         def end_run() -> None:
             nonlocal parts, linked
             if parts:
@@ -77,17 +88,18 @@ class Page:
                     links = max(0, links - 1)
                 if name in INLINE:
                     continue
-                depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-                if depth:
+                if opened[name]:
                     end_run()
-                    del stack[depth:]
+                    cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
                 elif name == "p":
                     end_run()
                 continue
             if name in RAW:
                 lower = lower or source.lower()
-                if not m.group(4).endswith("/"):
+                if name != "svg" or not m.group(4).endswith("/"):  # elsewhere a slash closes nothing
                     stop = lower.find(f"</{name}", at)
+                    while stop >= 0 and not ENDED.match(lower, stop + 2 + len(name)):
+                        stop = lower.find(f"</{name}", stop + 2)
                     close = source.find(">", stop) if stop >= 0 else -1
                     at = close + 1 if close >= 0 else len(source)
                 continue
@@ -100,14 +112,14 @@ class Page:
             links = 0
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == "p":
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k][0] not in ("#run",) and k < len(stack) - 1:
                     break
             if name in SELF_CLOSING:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] in SELF_CLOSING[name]:
-                        del stack[k:]
+                        cut(k)
                         break
                     if stack[k][0] in LIST_SCOPE[name]:
                         break
@@ -115,8 +127,10 @@ class Page:
             if m.group(4):
                 found = []
                 for key, *values in ATTRIBUTE.findall(m.group(4)):
-                    value = next((v for v in values if v), "")
-                    if key.lower() == "data-y":
+                    key, value = key.lower(), next((v for v in values if v), "")
+                    if key not in NAMED:
+                        continue
+                    if key == "data-y":
                         label = label if self.given else int(value)
                     else:
                         found += TOKENS.findall(CAMEL.sub(r"\1 \2", value).lower())
@@ -127,9 +141,9 @@ class Page:
             self.tag.append(name)
             self.tokens.append(tokens)
             self.label.append(label)
-            stack.append((name, len(self.tag) - 1))
-            if name in ("html", "body") and len(stack) > 3:
-                stack.pop()
+            if name not in ("html", "body") or len(stack) < 3:
+                stack.append((name, len(self.tag) - 1))
+                opened[name] += 1
         end_run()
 
     def _settle(self) -> None:

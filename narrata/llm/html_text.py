@@ -6,8 +6,8 @@ programming over the tree: *mixed* (no text of its own taken, children free), *i
 below out), with the greatest sum of log-odds. So nothing inside a rejected block is ever taken, and nothing outside
 an accepted one.
 
-Training uses random labelled pages of a grammar and a bounded sample of the given pages (``SAMPLE`` rows, by hash of
-the id), labelled where one article or main element, or one declared article body, says itself what the article is.
+Training uses random labelled pages of a grammar and a bounded sample of the given pages (``SAMPLE`` rows of at most
+``PAGE_CHARS`` characters, by hash of the id; longer pages are judged like all others), labelled where one article or main element, or one declared article body, says itself what the article is.
 Half of the copies of the given pages hide element names and attributes, so that densities are learnt too.
 
 Defined cases: a null or empty page, or one without an article, has an empty text. Repeated rows and null ids keep

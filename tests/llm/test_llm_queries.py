@@ -140,6 +140,27 @@ def test_main_text(spark):
     assert html_text.texts(empty(df)).count() == 0
 
 
+def test_pages_with_odd_tags():
+    import time
+
+    from narrata.llm.dom import Page
+
+    def text(source):
+        page = Page(source, given=True)
+        return [page.texts[i] for i in page.order]
+
+    assert text("<p>He <a href=x title=it's>said</a> that it's fine, really.</p>") == ["He said that it's fine, really."]
+    assert text('<script src="a.js" />var x = 1;</script><p>Text</p>') == ["Text"]
+    assert text("<script>if (a</scripty>b) x()</SCRIPT >\n<p>T</p>") == ["T"]
+    assert text('<p title="a > b" class=x>T</p><svg/><p>U</p>') == ["T", "U"]
+    assert text('<p title="unclosed>T</p>') == ["T"] and text("a < b <3 c") == ["a < b <3 c"]
+    assert text("<p>one<p>two</section></p><div>three") == ["one", "two", "three"]
+    for awkward in ("<a " * 350_000, '<a b="' * 150_000, "<a x='>' " * 100_000, "<!" * 500_000, "<div>" * 50_000 + "</p2>" * 50_000, "</" * 300_000, "<script>" * 100_000, "&" * 500_000):
+        start = time.time()
+        Page(awkward, given=True)
+        assert time.time() - start < 10
+
+
 def test_main_text_of_pages_with_label_attributes(spark):
     from narrata.llm.dom import Page
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from narrata.llm.common import stage
@@ -15,16 +15,21 @@ def components(edges: DataFrame) -> DataFrame:
     neighbour it knows. Every round is written to the shared folder; a star forest remains, in a number of rounds that
     grows with the logarithm of the longest path. Nodes with many neighbours are first reduced within each task.
     """
-    edges = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    edges, now = watched(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         ways = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = ways.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).filter("a <> b").distinct()
+        large = edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).filter("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = stage(small)
-        now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if tuple(now) == before:
+        before = now
+        edges, now = watched(small)
+        if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = tuple(now)
+
+
+def watched(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """``edges``, staged, and a checksum of them that is taken while they are written."""
+    seen = Observation()
+    staged = stage(edges.observe(seen, F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("sum")))
+    return staged, seen.get

@@ -95,8 +95,8 @@ class Forest:
     """Union-find over the members of one block; members of one ``root`` are together from the start."""
 
     def __init__(self, roots: np.ndarray):
-        _, first, same = np.unique(roots, return_index=True, return_inverse=True)
-        self.up = first[same].tolist()
+        first: dict[int, int] = {}
+        self.up = [first.setdefault(root, k) for k, root in enumerate(roots.tolist())]
 
     def root(self, x: int) -> int:
         while self.up[x] != x:
@@ -112,9 +112,10 @@ class Forest:
     def add(self, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
         """The pairs that join what was apart; pairs within one tree are dropped wholesale every so often."""
         while len(left):
-            roots = np.array([self.root(x) for x in range(len(self.up))])
-            apart = roots[left] != roots[right]
-            left, right = left[apart], right[apart]
+            if len(left) > 2000:
+                roots = np.array([self.root(x) for x in range(len(self.up))])
+                apart = roots[left] != roots[right]
+                left, right = left[apart], right[apart]
             for a, b in zip(left[:2000].tolist(), right[:2000].tolist(), strict=True):
                 if self.join(a, b):
                     yield a, b
@@ -159,15 +160,15 @@ def linked(members: DataFrame, payload: DataFrame, compare: Callable) -> DataFra
     centres = sizes.filter(F.col("n") > BLOCK).select("grp", F.col("centre").alias("rep"), F.explode(F.sequence(zero, chunks(F.col("n")) - 1)).alias("_k"))
     whole = block(sized.filter(F.col("n") <= BLOCK), zero, zero, zero, F.col("rep"))
     star = block(large, part(F.col("n")), out, out, F.col("rep")).unionByName(block(centres, F.col("_k"), out, F.col("_k"), F.col("rep")))
-    found = stage(compared(whole.unionByName(star)))
     if sizes.filter(F.col("n") > BLOCK).isEmpty():
-        return found
-    roots = components(found).select(F.col("node").alias("rep"), F.col("component").alias("root"))
-    named = stage(sized.filter(F.col("n") > BLOCK).join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
-    core = named.filter(F.col("rep") == F.col("centre")).select("grp", F.col("root").alias("core"))
-    split = named.drop("n", "centre").join(core, "grp").withColumn("apart", F.col("root") != F.col("core"))
+        return compared(whole)
+    found = stage(compared(whole.unionByName(star)))
+    near = found.select(F.col("a").alias("centre"), F.col("b").alias("rep"), F.lit(False).alias("apart")).distinct()
+    named = sized.filter(F.col("n") > BLOCK).join(near, ["centre", "rep"], "left")
+    apart = F.coalesce("apart", F.col("rep") != F.col("centre"))
+    split = stage(named.select("grp", "rep", apart.alias("apart"), F.when(apart, F.col("rep")).otherwise(F.col("centre")).alias("root")))
     counts = split.groupBy("grp").agg(F.sum(F.col("apart").cast("int")).alias("r"), F.sum((~F.col("apart")).cast("int")).alias("l")).filter("r > 0")
-    split = stage(split.join(counts, "grp"))
+    split = split.join(counts, "grp")
     if split.isEmpty():
         return found
     lists = lambda n: F.sequence(zero, chunks(F.col(n)) - 1)

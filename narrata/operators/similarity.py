@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from narrata.operators.ranking import first_per_key
 from narrata.session import small_rows, stage
@@ -69,7 +64,7 @@ def find_similar(queries: DataFrame, corpus: DataFrame, details: DataFrame, k: i
     ``all_queries`` names every query: one whose text has no known term has no row in ``queries``, and gets the
     first documents at score 0.
     """
-    top = stage(top_k(cosine_pairs(queries, corpus, query_id, doc_id), k, query_id, doc_id))
+    top = stage(search(queries, corpus, k, query_id, doc_id))
     ids = (queries if all_queries is None else all_queries).select(query_id).distinct()
     return details.join(pad_top_k(top, ids, details, k, query_id, doc_id), doc_id)
 
@@ -81,16 +76,9 @@ def drop_self_matches(matches: DataFrame, k: int, query_id: str, doc_id: str, sa
     return kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def pack(weights: DataFrame, term_ids: DataFrame, id: str, carry=()) -> DataFrame:
-    """One row per document: term ids in ascending order with their weights."""
-    cells = weights.join(term_ids.select("term", "term_id"), "term")
-    packed = cells.groupBy(id, *carry).agg(F.array_sort(F.collect_list(F.struct("term_id", "w"))).alias("_c"))
-    return packed.select(id, *carry, F.col("_c.term_id").alias("ids"), F.col("_c.w").alias("ws"))
-
-
 def vector_keys(weights: DataFrame, id: str, carry=()) -> DataFrame:
     """Staged ``(id, *carry, vec)``: documents with the same vector have the same ``vec``."""
-    cells = F.array_sort(F.collect_list(F.struct("term", F.round("w", 12).alias("r"))))
+    cells = F.array_sort(F.collect_list(F.struct("term", F.round("w", 12).alias("r"))))  # of one document
     return stage(weights.groupBy(id, *carry).agg(F.sha2(F.to_json(cells), 256).alias("vec")))
 
 
@@ -110,20 +98,15 @@ def collapse_copies(weights: DataFrame, id: str, label: str) -> tuple[DataFrame,
     return one_per_vector(weights, keys, id), counts
 
 
-def packed_dot():
-    """Dot product of two packed vectors per row, in Arrow batches."""
+def dot_products(pairs: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
+    """``pairs`` (left_id, right_id) with the dot product of their vectors, by joins of the long tables."""
+    cells = pairs.join(left.select(left_id, "term", F.col("w").alias("_wl")), left_id)
+    both = cells.join(right.select(right_id, "term", F.col("w").alias("_wr")), [right_id, "term"])
+    return both.groupBy(left_id, right_id).agg(F.sum(F.col("_wl") * F.col("_wr")).alias("score"))
 
-    @F.pandas_udf(DoubleType())
-    def dot(it: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a_ids, a_ws, b_ids, b_ws in it:
-            out = np.empty(len(a_ids))
-            for i, (ai, aw, bi, bw) in enumerate(zip(a_ids, a_ws, b_ids, b_ws)):
-                at = np.searchsorted(bi, ai)
-                at[at == len(bi)] = 0
-                out[i] = (aw * np.where(bi[at] == ai, bw[at], 0.0)).sum()
-            yield pd.Series(out)
 
-    return dot
+#: Vectors that meet under one sub-key of a prefix term.
+SUB_KEY = 1024
 
 
 def near_pairs(vectors: DataFrame, vocabulary: DataFrame, threshold: float, id: str) -> DataFrame:
@@ -132,32 +115,37 @@ def near_pairs(vectors: DataFrame, vocabulary: DataFrame, threshold: float, id:
     Terms are ordered from rare to frequent. Each vector keeps the shortest prefix of rare terms
     whose remaining norm is below the threshold: a pair that shares no prefix term cannot reach
     it (all-pairs similarity search, Bayardo, Ma and Srikant, WWW 2007). Candidates come from an
-    equi-join of prefixes; a bound from the shared prefix weights drops most before the check.
+    equi-join of narrow prefix postings, in which a term of many vectors is split over sub-keys.
+    Two bounds need no vector: what the common prefix terms and the norms of the rest allow, and
+    what the largest weight of one vector times the weight sum of the other allows. The vectors
+    of the pairs that pass both are then fetched and multiplied as long tables.
     """
     terms = vocabulary.select("term", "term_id", "df")
     rare_first = Window.partitionBy(id).orderBy("df", "term_id")
     cells = vectors.select(id, "term", "w").join(terms, "term")
     before = F.coalesce(F.sum(F.col("w") * F.col("w")).over(rare_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     floor = threshold * threshold - 1e-9
-    ranked = cells.withColumn("_left", 1.0 - before)
-    prefix = stage(ranked.filter(F.col("_left") >= floor).select(id, "term_id", "df", "w"))
-    cut = prefix.groupBy(id).agg(F.max(F.struct("df", "term_id")).alias("cut"),
+    whole = Window.partitionBy(id)
+    ranked = cells.withColumns({"_left": 1.0 - before, "_top": F.max("w").over(whole), "_sum": F.sum("w").over(whole)})
+    prefix = stage(ranked.filter(F.col("_left") >= floor).select(id, "term_id", "df", "w", "_top", "_sum"))
+    cut = prefix.groupBy(id).agg(F.max(F.struct("df", "term_id")).alias("cut"), F.max("_top").alias("top"), F.max("_sum").alias("sum"),
                                  F.sqrt(F.greatest(1.0 - F.sum(F.col("w") * F.col("w")), F.lit(0.0))).alias("tail"))
-    a = prefix.select(F.col(id).alias("a"), "term_id", F.col("w").alias("_wa"))
-    b = prefix.select(F.col(id).alias("b"), "term_id", F.col("w").alias("_wb"))
-    shared = a.join(b, "term_id").filter("a < b").groupBy("a", "b").agg(
+    cut = stage(cut)
+    split = prefix.groupBy("term_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("term_id", F.ceil(F.col("_n") / SUB_KEY).cast("int").alias("_s"))
+    posts = prefix.select(id, "term_id", "w").join(split, "term_id")
+    a = posts.select(F.col(id).alias("a"), "term_id", F.col("w").alias("_wa"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_k"))
+    b = posts.select(F.col(id).alias("b"), "term_id", F.col("w").alias("_wb"), F.pmod(F.xxhash64(id), F.col("_s")).cast("int").alias("_k"))
+    shared = a.join(b, ["term_id", "_k"]).filter("a < b").groupBy("a", "b").agg(
         F.sum(F.col("_wa") * F.col("_wb")).alias("acc"),
         F.sum(F.col("_wa") * F.col("_wa")).alias("sa"), F.sum(F.col("_wb") * F.col("_wb")).alias("sb"))
-    packed = stage(pack(vectors, vocabulary, id).join(cut, id))
-    left = packed.select(F.col(id).alias("a"), F.col("ids").alias("a_ids"), F.col("ws").alias("a_ws"),
-                         F.col("cut").alias("a_cut"), F.col("tail").alias("a_tail"))
-    right = packed.select(F.col(id).alias("b"), F.col("ids").alias("b_ids"), F.col("ws").alias("b_ws"),
-                          F.col("cut").alias("b_cut"), F.col("tail").alias("b_tail"))
+    side = lambda s: cut.select(F.col(id).alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("cut", "tail", "top", "sum")])
     # what lies beyond the earlier cut: the tail of that side times what the other has not yet shared
     room = F.when(F.col("a_cut") <= F.col("b_cut"), F.col("a_tail") * F.sqrt(F.greatest(1.0 - F.col("sb"), F.lit(0.0)))
                   ).otherwise(F.col("b_tail") * F.sqrt(F.greatest(1.0 - F.col("sa"), F.lit(0.0))))
-    pairs = shared.join(left, "a").join(right, "b").filter(F.col("acc") + room >= threshold - 1e-9)
-    scored = pairs.select("a", "b", packed_dot()("a_ids", "a_ws", "b_ids", "b_ws").alias("score"))
+    size = F.least(F.col("a_top") * F.col("b_sum"), F.col("b_top") * F.col("a_sum"))
+    kept = shared.join(side("a"), "a").join(side("b"), "b").filter((F.col("acc") + room >= threshold - 1e-9) & (size >= threshold - 1e-9))
+    left, right = (vectors.select(F.col(id).alias(s), "term", "w") for s in ("a", "b"))
+    scored = dot_products(stage(kept.select("a", "b")), left, right, "a", "b")
     return scored.filter(F.col("score") >= threshold - 1e-9).withColumn("score", F.least("score", F.lit(1.0)))
 
 
@@ -182,46 +170,69 @@ def near_label_pairs(pairs: DataFrame, vectors: DataFrame, counts: DataFrame, id
         F.sum("p").alias("pairs")).filter("pairs > 0")
 
 
-def nearest(queries: DataFrame, corpus: DataFrame, vocabulary: DataFrame, query_id: str, doc_id: str,
-            seeds: int = 4, slack: float = 0.5, all_queries: DataFrame | None = None) -> DataFrame:
-    """Best match per query (ties: lowest id) as ``(query_id, nn_id, nn_sim)``. Exact.
+#: Postings that the rare terms of a query may bring into each of the first rounds of a search.
+BUDGETS = (64, 2048)
 
-    Copies are searched once. The rarest terms of a query propose two records, whose true score s
-    is a lower bound. Rare terms are then taken until the norm of the rest falls below slack * s:
-    a record that shares none of them scores below s. What shares some is kept only if the shared
-    weight plus the most the rest can add reaches s, and is then scored in full. So the frequent
-    terms, which would pair almost everything with everything, mostly never enter the join.
-    A query of ``all_queries`` that shares no term with any record keeps its row, with no record and similarity 0.
+
+def search(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, doc_id: str, budgets: tuple[int, ...] = BUDGETS) -> DataFrame:
+    """The ``k`` best matches ``(query_id, doc_id, score, rank)`` of every query, above score 0. Exact, ties by lowest id.
+
+    Both sides are long tables of unit vectors without negative weights. Copies are searched once and listed at the end.
+
+    *Postings by impact.* The postings of a term are cut to blocks by weight (a factor of the square root of two), with
+    the largest weight of each block and term.
+    *Rounds.* Each query takes its terms from rare to frequent: in a round those whose postings fit its budget, in the
+    last one the rest. The k-th score found so far is its threshold. A term is taken only while it and the more frequent
+    ones could reach the threshold together, by the sum of their largest contributions and by their norm: a query whose
+    rest cannot has left. A block is read only if its largest weight and the largest weights of all other terms could.
+    *Candidates.* What a round's postings bring together is scored in full only if the common weight, and the most that
+    the norms of both remainders can add, reach the threshold. No sum is taken over all pairs that share a term.
     """
+    check_k(k)
     q_keys, c_keys = vector_keys(queries, query_id), vector_keys(corpus, doc_id)
-    terms = vocabulary.select("term", "term_id", "df")
-    q = one_per_vector(queries, q_keys, query_id).withColumnRenamed("vec", "q")
-    c = stage(one_per_vector(corpus, c_keys, doc_id).select(doc_id, "term", F.col("w").alias("_wc")))
-    rare_first = Window.partitionBy("q").orderBy("df", "term_id")
-    mass = F.coalesce(F.sum(F.col("w") * F.col("w")).over(rare_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    q = stage(q.join(terms, "term").select("q", "term", "term_id", "w", F.row_number().over(rare_first).alias("_n"), mass.alias("_before")))
-    q_pack = stage(pack(q.select("q", "term", "w"), vocabulary, "q").toDF("q", "a_ids", "a_ws"))
-    c_pack = stage(pack(c.withColumnRenamed("_wc", "w"), vocabulary, doc_id).toDF(doc_id, "b_ids", "b_ws"))
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        both = pairs.select("q", doc_id).join(q_pack, "q").join(c_pack, doc_id)
-        return both.select("q", doc_id, packed_dot()("a_ids", "a_ws", "b_ids", "b_ws").alias("score"))
-
-    guess = q.filter(F.col("_n") <= seeds).join(c, "term").groupBy("q", doc_id).agg(F.sum(F.col("w") * F.col("_wc")).alias("acc"))
-    guess = first_per_key(guess, ["q"], [F.desc("acc"), F.asc(doc_id)], 2)
-    bound = stage(scored(guess).groupBy("q").agg(F.max("score").alias("s")))
-    known = q.join(bound, "q", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
-    prefix = stage(known.filter(F.sqrt(F.greatest(1.0 - F.col("_before"), F.lit(0.0))) >= slack * F.col("s")))
-    rest = prefix.groupBy("q").agg(F.max("s").alias("s"), F.sqrt(F.greatest(1.0 - F.sum(F.col("w") * F.col("w")), F.lit(0.0))).alias("tail"))
-    pairs = prefix.select("q", "term", "w").join(c, "term").groupBy("q", doc_id).agg(
-        F.sum(F.col("w") * F.col("_wc")).alias("acc"), F.sum(F.col("_wc") * F.col("_wc")).alias("sc"))
-    room = F.col("tail") * F.sqrt(F.greatest(1.0 - F.col("sc"), F.lit(0.0)))
-    kept = pairs.join(rest, "q").filter(F.col("acc") + room >= F.col("s") - 1e-9)
-    best = scored(kept).groupBy("q").agg(F.min(F.struct(
-        (-F.round("score", 9)).alias("o"), F.col(doc_id).alias("i"), F.col("score").alias("s"))).alias("x"))
-    found = q_keys.withColumnRenamed("vec", "q").join(best, "q", "left").select(query_id, F.col("x.i").alias("nn_id"), F.col("x.s").alias("_s"))
-    rows = found if all_queries is None else all_queries.select(query_id).distinct().join(found, query_id, "left")
-    return rows.select(query_id, "nn_id", F.least(F.greatest(F.coalesce("_s", F.lit(0.0)), F.lit(0.0)), F.lit(1.0)).alias("nn_sim"))
+    first_q, first_c = one_per_vector(queries, q_keys, query_id), one_per_vector(corpus, c_keys, doc_id)
+    posts = stage(first_c.select(F.col("vec").alias("d"), "term", "w", F.floor(-2.0 * F.log2("w")).cast("int").alias("block")))
+    blocks = stage(posts.groupBy("term", "block").agg(F.max("w").alias("most"), F.count("*").alias("n")))
+    terms = blocks.groupBy("term").agg(F.max("most").alias("top"), F.sum("n").alias("df"))
+    q = first_q.select(F.col("vec").alias("q"), "term", "w").join(terms, "term").withColumn("reach", F.col("w") * F.col("top"))
+    order = Window.partitionBy("q").orderBy("df", "term")
+    rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    cells = stage(q.withColumns({
+        "total": F.sum("reach").over(Window.partitionBy("q")), "rest": F.least(F.sum("reach").over(rest), F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest))),
+        "before": F.coalesce(F.sum("df").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}))
+    scored, least, low = None, None, 0
+    for budget in (*budgets, None):
+        known = cells.withColumn("least", F.lit(0.0)) if least is None else cells.join(least, "q", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+        enough = F.col("least") - 2e-9
+        taken = known.filter((F.col("before") >= low) & (F.col("rest") >= enough) & (F.lit(True) if budget is None else F.col("before") < budget))
+        read = taken.join(blocks, "term").filter(F.col("w") * F.col("most") + F.col("total") - F.col("reach") >= enough)
+        met = read.select("q", "term", "block", "w", "least").join(posts.withColumnRenamed("w", "_w"), ["term", "block"]).groupBy("q", "d").agg(
+            F.sum(F.col("w") * F.col("_w")).alias("acc"), F.sum(F.col("w") * F.col("w")).alias("sq"), F.sum(F.col("_w") * F.col("_w")).alias("sd"), F.max("least").alias("least"))
+        room = F.sqrt(F.greatest(1.0 - F.col("sq"), F.lit(0.0)) * F.greatest(1.0 - F.col("sd"), F.lit(0.0)))
+        fresh = met.filter(F.col("acc") + room >= enough).select("q", "d")
+        if scored is not None:
+            fresh = fresh.join(scored, ["q", "d"], "left_anti")
+        found = stage(dot_products(fresh, cells, posts, "q", "d"))
+        scored = found if scored is None else scored.unionByName(found)
+        best = first_per_key(scored, ["q"], [F.desc("score")], k)
+        least = best.groupBy("q").agg(F.min("score").alias("least"), F.count("*").alias("_n")).filter(F.col("_n") >= k).drop("_n")
+        low = budget
+    # a copy of a match is a match of its own: the first k ids of each vector are all that k ranks can hold
+    copies = first_per_key(c_keys, ["vec"], [F.asc(doc_id)], k).select(F.col("vec").alias("d"), doc_id)
+    lead = copies.groupBy("d").agg(F.min(doc_id).alias("_first"))
+    best = first_per_key(scored.join(lead, "d"), ["q"], [F.desc(F.round("score", 9)), F.asc("_first")], k).select("q", "d", F.least("score", F.lit(1.0)).alias("score"))
+    listed = top_k(stage(best).join(copies, "d"), k, "q", doc_id)
+    return q_keys.withColumnRenamed("vec", "q").select(query_id, "q").join(listed, "q").select(query_id, doc_id, "score", "rank")
+
+
+def nearest(queries: DataFrame, corpus: DataFrame, query_id: str, doc_id: str, all_queries: DataFrame | None = None) -> DataFrame:
+    """Best match per query (ties: lowest id) as ``(query_id, nn_id, nn_sim)``, by ``search``. Exact.
+
+    A query of ``all_queries`` that shares no term with any record keeps its row, with no record and similarity 0.
+    """
+    found = search(queries, corpus, 1, query_id, doc_id).select(query_id, F.col(doc_id).alias("nn_id"), F.col("score").alias("nn_sim"))
+    rows = (queries if all_queries is None else all_queries).select(query_id).distinct().join(found, query_id, "left")
+    return rows.withColumn("nn_sim", F.coalesce("nn_sim", F.lit(0.0)))
 
 
 BIN_EDGES = (0.0, 0.5, 0.7, 0.8, 0.9, 0.95, 1.0001)  # fixed values

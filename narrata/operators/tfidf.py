@@ -99,11 +99,38 @@ def exploded(df: DataFrame, keys, grams: str = "_grams", out: str = "term") -> D
     return df.select(*keys, F.explode_outer(grams).alias(out)).filter(F.col(out).isNotNull())
 
 
-def term_counts(docs: DataFrame, block: Block, id: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
-    """``(id, *carry, term, tf)``. The text is partitioned by document once; all later grouping by
-    document, and by document and term, reuses that partitioning."""
+def run_lengths(grams: Column) -> Column:
+    """Array of (term, tf): the grams of one row, sorted, as runs of equals. Nothing leaves the row."""
+
+    def runs(g: Column, heads: Column) -> Column:
+        ends = F.concat(F.slice(heads, F.lit(2), F.size(g)), F.array(F.size(g) + 1))
+        return F.zip_with(heads, ends, lambda a, b: F.struct(F.get(g, a - 1).alias("term"), (b - a).cast("bigint").alias("tf")))
+
+    def counted(g: Column) -> Column:
+        heads = F.filter(F.sequence(F.lit(1), F.size(g)), lambda i: (i == 1) | (F.get(g, i - 1) != F.get(g, i - 2)))
+        return F.transform(F.array(heads), lambda h: runs(g, h))[0]
+
+    # a lambda over an array of one binds what it is given, so that it is computed once
+    return F.when(F.size(grams) > 0, F.transform(F.array(F.sort_array(grams)), counted)[0])
+
+
+def unique_ids(docs: DataFrame, id: str) -> bool:
+    """Whether no two rows share an id; reads and shuffles the ids alone."""
+    return docs.groupBy(id).agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
+
+
+def term_counts(docs: DataFrame, block: Block, id: str = "doc_id", text: str = "text", carry=(), by_id: bool = True) -> DataFrame:
+    """``(id, *carry, term, tf)``. Terms are counted inside each row; rows that share an id are added up.
+
+    With ``by_id`` the text is partitioned by id before its terms multiply its size, and all later grouping by document
+    reuses that partitioning. Without, as for document frequencies, the text stays where it is. A count by id and term is
+    needed only where ids repeat.
+    """
     base = docs.select(id, *carry, F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    base = base.repartition(F.col(id))
+    merge = not unique_ids(docs, id)
+    if by_id:
+        # a stated number keeps the planner from coalescing by the size of the text, which its terms multiply
+        base = base.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(id))
     keys = [id, *carry]
     if block.analyzer == "word":
         grams = with_word_grams(base, "_t", block.ngram_range)
@@ -111,13 +138,14 @@ def term_counts(docs: DataFrame, block: Block, id: str = "doc_id", text: str = "
         flat = base.withColumn("_t", F.regexp_replace("_t", r"\s\s+", " "))
         grams = with_char_grams(flat, "_t", block.ngram_range)
     elif block.analyzer == "char_wb":
-        words = exploded(base.withColumn("_ws", F.split("_t", r"\s+")), keys, "_ws", "_w").filter("_w <> ''")
-        words = words.groupBy(*keys, "_w").agg(F.count("*").alias("_n"))  # n-grams once per distinct word
-        grams = with_padded_word_grams(words, "_w", block.ngram_range)
+        words = base.withColumn("_ws", F.filter(F.split("_t", r"\s+"), lambda w: w != "")).select(*keys, F.inline(run_lengths(F.col("_ws")))).toDF(*keys, "_w", "_n")
+        grams = with_padded_word_grams(words, "_w", block.ngram_range)  # n-grams once per distinct word
+        # the same n-gram may come from several words of a document
         return exploded(grams, [*keys, "_n"]).groupBy(*keys, "term").agg(F.sum("_n").alias("tf"))
     else:
         raise ValueError(f"unknown analyzer {block.analyzer!r}")
-    return exploded(grams, keys).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    counted = grams.select(*keys, F.explode_outer(run_lengths(F.col("_grams"))).alias("_c")).filter("_c is not null").select(*keys, "_c.term", "_c.tf")
+    return counted.groupBy(*keys, "term").agg(F.sum("tf").alias("tf")) if merge else counted
 
 
 def fit_vocabulary(docs: DataFrame, block: Block, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -127,7 +155,7 @@ def fit_vocabulary(docs: DataFrame, block: Block, id: str = "doc_id", text: str
         raise ValueError("Cannot fit a vocabulary on an empty corpus.")
     low = block.min_df if isinstance(block.min_df, int) else block.min_df * n
     high = block.max_df if isinstance(block.max_df, int) else block.max_df * n
-    counts = term_counts(docs, block, id, text).groupBy("term").agg(
+    counts = term_counts(docs, block, id, text, by_id=False).groupBy("term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf"))
     kept = counts.filter((F.col("df") >= low) & (F.col("df") <= high))
     if block.max_features is not None:

@@ -260,8 +260,7 @@ def cosine_pairs(spark, sf_dir):
 
 @query("top_k_records", _RETRIEVE + "SELECT item_id, doc_id, rank, round(score, 6) AS score FROM ranked WHERE rank <= 10 AND score > 0")
 def top_k_records(spark, sf_dir):
-    scores = SIM.cosine_pairs(benchmark_weights(spark, sf_dir), word_weights(spark, sf_dir), "item_id", "doc_id")
-    return SIM.top_k(scores, 10, "item_id", "doc_id").select("item_id", "doc_id", "rank", "score")
+    return SIM.search(benchmark_weights(spark, sf_dir), word_weights(spark, sf_dir), 10, "item_id", "doc_id").select("item_id", "doc_id", "rank", "score")
 
 
 @query("similar_records", _RETRIEVE + """SELECT item_id, rank, doc_id, round(score, 6) AS score, source AS category, text FROM ranked JOIN documents USING (doc_id) WHERE rank <= 5""")
@@ -284,7 +283,7 @@ def similar_records_without_self(spark, sf_dir):
     w = word_weights(spark, sf_dir)
     toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
     q = stage(w.join(toxic, "doc_id", "left_semi").select(F.col("doc_id").alias("query_id"), "term", "w"))
-    seven = SIM.top_k(SIM.cosine_pairs(q, w, "query_id", "doc_id"), 7, "query_id", "doc_id")
+    seven = SIM.search(q, w, 7, "query_id", "doc_id")
     # equal processed text covers equal raw text; digests keep the joined side narrow
     digest = processed(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("t"))
     seven = seven.join(digest.withColumnRenamed("t", "tb"), "doc_id").join(digest.toDF("query_id", "ta"), "query_id")
@@ -322,7 +321,7 @@ def train_neighbours(spark, sf_dir):
         corpus = V.transform(train, voc, V.WORD_BIGRAMS)
         q = stage(V.transform(val, voc, V.WORD_BIGRAMS).select(F.col("doc_id").alias("query_id"), "term", "w"))
         every = val.select(F.col("doc_id").alias("query_id"))
-        return stage(SIM.nearest(q, stage(corpus), voc, "query_id", "doc_id", all_queries=every).withColumnRenamed("query_id", "doc_id"))
+        return stage(SIM.nearest(q, stage(corpus), "query_id", "doc_id", all_queries=every).withColumnRenamed("query_id", "doc_id"))
 
     return shared(spark, sf_dir, "train_neighbours", build)
 

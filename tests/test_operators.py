@@ -202,7 +202,7 @@ def test_top_k_rules(spark):
     ids = spark.createDataFrame([(9,), (10,)], "qid bigint")
     hits = SIM.find_similar(q, w, d, 10, "qid", "doc_id", ids).orderBy("qid", "rank").collect()
     assert [r["doc_id"] for r in hits] == [3, 0, 1, 2, 0, 1, 2, 3] and [r["score"] for r in hits[3:]] == [0.0] * 5
-    near = SIM.nearest(q, w, v, "qid", "doc_id", all_queries=ids).orderBy("qid").collect()
+    near = SIM.nearest(q, w, "qid", "doc_id", all_queries=ids).orderBy("qid").collect()
     assert [(r["qid"], r["nn_id"], r["nn_sim"]) for r in near] == [(9, 3, pytest.approx(1.0)), (10, None, 0.0)]
 
 
@@ -238,6 +238,28 @@ def test_near_pairs_against_brute_force(spark, threshold):
     assert got == want and sum(got.values()) > 60
 
 
+@pytest.mark.parametrize("budgets", [(3, 40), ()])
+def test_search_against_brute_force(spark, budgets):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(60)]
+    share = 1 / np.arange(1, 61)
+    texts = [" ".join(rng.choice(words, int(rng.integers(2, 12)), p=share / share.sum())) for _ in range(130)]
+    texts += [texts[0]] * 9 + [texts[3]] * 3
+    d = docs(spark, texts)
+    block = V.Block("word", (1, 1), sublinear_tf=True)
+    v, w = V.fit_transform(d, block)
+    q = w.filter("doc_id % 4 = 0").withColumnRenamed("doc_id", "qid")
+    vecs: dict = {}
+    for r in w.collect():
+        vecs.setdefault(r["doc_id"], {})[r["term"]] = r["w"]
+    want = set()
+    for i in range(0, len(texts), 4):
+        ranked = sorted((-round(min(sum(x * vecs[j].get(t, 0.0) for t, x in vecs[i].items()), 1.0), 9), j) for j in vecs)
+        want |= {(i, j, n + 1, -s) for n, (s, j) in enumerate(ranked[:5]) if s < 0}
+    found = SIM.search(q, w, 5, "qid", "doc_id", budgets)
+    assert {(r["qid"], r["doc_id"], r["rank"], round(r["score"], 9)) for r in found.collect()} == want
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(11)
     words = [f"w{i}" for i in range(80)]
@@ -248,7 +270,7 @@ def test_nearest_against_brute_force(spark):
     block = V.Block("word", (1, 2), min_df=2, max_df=0.95, sublinear_tf=True)
     v, w = V.fit_transform(d.filter("doc_id < 120"), block)
     q = V.transform(d.filter("doc_id >= 120").withColumnRenamed("doc_id", "qid"), v, block, id="qid")
-    got = {r["qid"]: (r["nn_id"], round(r["nn_sim"], 9)) for r in SIM.nearest(q, w, v, "qid", "doc_id").collect()}
+    got = {r["qid"]: (r["nn_id"], round(r["nn_sim"], 9)) for r in SIM.nearest(q, w, "qid", "doc_id").collect()}
     vecs: dict = {}
     for r in w.collect():
         vecs.setdefault(r["doc_id"], {})[r["term"]] = r["w"]
@@ -436,3 +458,23 @@ def test_percent_and_row_pick(spark):
     df = spark.createDataFrame([("Baseline", "69.82%"), ("Minimal", "0.5"), ("Other", "18")], "experiment string, v string")
     assert [r[0] for r in df.select(E.as_percent(F.col("v"))).collect()] == [69.82, 50.0, 18.0]
     assert E.pick_rows(df, {"experiment": "BASE"}).count() == 1
+
+
+def test_feature_index_over_many_partitions(spark):
+    names = sorted({f"t{i * 7919 % 5000:05}" for i in range(5000)})
+    v = spark.createDataFrame([("word", n) for n in names[::2]], "block string, term string").repartition(13)
+    c = spark.createDataFrame([("char", n) for n in names[1::2]], "block string, term string").repartition(7)
+    index = LN.feature_index({"char": c, "word": v}, [("meta", "a=1")])
+    got = [(r["block"], r["term"]) for r in sorted(index.collect(), key=lambda r: r["idx"])]
+    assert got == [("word", n) for n in names[::2]] + [("char", n) for n in names[1::2]] + [("meta", "a=1")]
+    assert sorted(r["idx"] for r in index.collect()) == list(range(5001)) and dict(index.dtypes)["idx"] == "int"
+
+
+def test_term_counts_of_repeated_ids_and_empty_rows(spark):
+    d = spark.createDataFrame([(1, "b a b"), (1, "a c"), (2, ""), (3, None), (4, "z")], "doc_id bigint, text string")
+    for block in (V.Block("word", (1, 1)), V.Block("char", (1, 1)), V.Block("char_wb", (1, 1))):
+        whole = {(r["doc_id"], r["term"]): r["tf"] for r in V.term_counts(d, block).collect()}
+        assert whole == {(r["doc_id"], r["term"]): r["tf"] for r in V.term_counts(d, block, by_id=False).collect()}
+    assert whole[1, "b"] == 2 and whole[1, "a"] == 2 and {i for i, _ in whole} == {1, 4}
+    plan = V.term_counts(d.filter("doc_id > 1"), V.Block("word", (1, 2)), by_id=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

@@ -478,3 +478,29 @@ def test_term_counts_of_repeated_ids_and_empty_rows(spark):
     assert whole[1, "b"] == 2 and whole[1, "a"] == 2 and {i for i, _ in whole} == {1, 4}
     plan = V.term_counts(d.filter("doc_id > 1"), V.Block("word", (1, 2)), by_id=False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("loss", ["logistic", "squared_hinge"])
+def test_newton_reaches_the_optimum(spark, loss):
+    from narrata.operators import newton as N
+
+    rng = np.random.default_rng(4)
+    x = np.c_[np.ones(90), rng.normal(size=(90, 2))]
+    y = np.where(x[:, 1] + 0.5 * rng.normal(size=90) > 0.4, "a", np.where(x[:, 2] > 0, "b", "c"))
+    rows = spark.createDataFrame([(i, str(y[i]), *map(float, x[i])) for i in range(90)], "id long, label string, p double, q double, r double")
+    train = N.class_weighted(N.prepared(rows, [F.col("p"), F.col("q"), F.col("r")], F.lit("all"), "label", ("id",)), 1.0)
+    model = N.fit(train, N.units_of(train), 3, loss, 2.0, 8)
+    weight = {c: 90 / (3 * (y == c).sum()) for c in "abc"}
+    c = np.array([weight[v] for v in y])
+    for r in model.collect():
+        w = np.array([r["w_0"], r["w_1"], r["w_2"]])
+        t = y == r["unit"]
+        m, sign = x @ w, np.where(t, 1.0, -1.0)
+        slope = 1 / (1 + np.exp(-m)) - t if loss == "logistic" else np.where(sign * m < 1, 2 * (m - sign), 0)
+        assert np.abs(w + x.T @ (2.0 * c * slope)).max() < 1e-6
+    got = N.predict(train.drop("c"), model, 3, loss, "id").collect()
+    assert np.mean([r["y"] == r["y_pred"] for r in got]) > 0.7
+    with pytest.raises(ValueError, match="features"):
+        N.predict(train.drop("c", "x_2"), model, 3, loss, "id")
+    with pytest.raises(ValueError, match="empty"):
+        N.fit(train.limit(0), N.units_of(train), 3, loss)

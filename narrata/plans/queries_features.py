@@ -177,7 +177,7 @@ def tfidf_unseen_corpus(spark, sf_dir):
 
 _SPEC = V.FeatureSpec(word=V.WORD_UNIGRAMS, char=V.CHAR_GRAMS)
 _BOTH = (f"WITH {_D}, wtf AS ({S.term_counts('docs', 'word', 1, 1)}), wv AS ({S.vocabulary('wtf', 'docs', 2, 0.95)}), ww AS ({S.weights('wtf', 'wv')}), "
-         f"ctf AS ({S.term_counts('docs', 'char', 3, 5)}), cv AS ({S.vocabulary('ctf', 'docs', 5, 0.95, 100000)}), cw AS ({S.weights('ctf', 'cv')}), "
+         f"ctf AS ({S.term_counts('docs', 'char', 3, 5)}), cv AS ({S.vocabulary('ctf', 'docs', 5, 0.95)}), cw AS ({S.weights('ctf', 'cv')}), "
          "w AS (SELECT doc_id, 'word' AS block, term, w FROM ww UNION ALL SELECT doc_id, 'char', term, w FROM cw) ")
 
 
@@ -224,12 +224,13 @@ def matrix_statistics(spark, sf_dir):
 
 
 @query("metadata_one_hot", f"""WITH h AS (SELECT o_orderkey, unnest(['status=' || o_orderstatus, 'quarter=' || year(o_orderdate) || 'Q' || quarter(o_orderdate)]) AS term, year(o_orderdate) AS y FROM orders)
- SELECT o_orderkey AS doc_id, term, 1.0::DOUBLE AS w FROM h WHERE y >= 1999 AND term IN (SELECT term FROM h WHERE y < 2000)""")
+ SELECT o_orderkey AS doc_id, term, 1.0::DOUBLE AS w FROM h WHERE term IN (SELECT term FROM h WHERE y < 2000)""")
 def metadata_one_hot(spark, sf_dir):
+    """Levels are learnt on the years before 2000; all orders are encoded, and levels not seen there are left out."""
     o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "doc_id")
     cols = {"status": F.col("o_orderstatus"), "quarter": D.quarter(F.col("o_orderdate"))}
     _, levels = V.one_hot(o.filter("year(o_orderdate) < 2000"), None, "doc_id", cols)
-    rows, _ = V.one_hot(o.filter("year(o_orderdate) >= 1999"), levels, "doc_id", cols)
+    rows, _ = V.one_hot(o, levels, "doc_id", cols)
     return rows.select("doc_id", "term", "w")
 
 

@@ -2,6 +2,11 @@
 
 Language identification drops texts of no known language, near-duplicate groups keep one document, repeated byte
 strings are cut, documents with benchmark passages go, and what is left is encoded to ids.
+
+Defined cases: a text that is null, empty or without a letter has no known language and goes in the first stage, as does
+one whose best language has a pooled probability below 0.35. Rows without an id are in no near-duplicate group and keep
+their repeated strings. Rows that share an id stay or go together as duplicates, and each keeps its own text. Columns
+beside those of documents pass through all stages but the last, whatever they are called. An empty table stays empty.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from narrata.llm.common import stage, table
@@ -43,3 +44,19 @@ def test_empty_documents(spark, empty):
     for _, step in corpus_pipeline.STAGES:
         docs = stage(step(spark, docs, SF))
     assert docs.count() == 0
+
+
+def test_awkward_documents(spark):
+    docs = table(spark, SF, "documents")
+    few = docs.filter("doc_id < 60")
+    more = few.filter("doc_id < 3").selectExpr("doc_id + 100000 AS doc_id", "text", "lang", "source", "n_chars")
+    odd = spark.createDataFrame([(None, "a text without an id but with words of its own to keep", "en", "s", 1), (200000, None, None, None, None), (200001, "", "en", "s", 0), (200002, "123 456", "en", "s", 7)], docs.schema)
+    clash = {"_gone": F.lit(1), "_id": F.lit(2), "_key": F.lit(3), "_at": F.lit(4), "key": F.lit(5)}
+    rows = few.unionByName(few.filter("doc_id = 5")).unionByName(more).unionByName(odd).withColumns(clash)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        names = rows.columns
+        rows = stage(step(spark, rows, SF))
+        assert rows.columns == names
+    ids = {r.doc_id for r in rows.collect()}
+    assert not ids & {100000, 100001, 100002, 200000, 200001, 200002}
+    assert {(r._gone, r._id, r._key, r._at, r.key) for r in rows.collect()} == {(1, 2, 3, 4, 5)}

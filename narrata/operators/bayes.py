@@ -1,7 +1,11 @@
-"""Naive Bayes by aggregation: exact closed forms, no solver, one pass to fit and one to score."""
+"""Naive Bayes by aggregation: exact closed forms, no solver, one pass to fit and one to score.
+
+Classes are rows and array entries, never expressions of a plan: only (term, class) cells with weight are stored.
+"""
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -14,11 +18,14 @@ from narrata.session import small_rows, stage
 
 @dataclass
 class BayesModel:
-    kind: str
+    """One or several candidates ``(kind, alpha)`` over the same sums; ``prior`` and ``slope`` hold a list of classes for each."""
+
+    candidates: list[tuple[str, float]]
     classes: list
-    prior: list[float]
+    prior: list[list[float]]
+    slope: list[list[float]]
     block: Block | None  # None for a model over several blocks
-    table: DataFrame  # staged: term, idf, theta array in class order
+    table: DataFrame  # term, idf, base, cells (class number, corrections) of the classes in which the term occurs
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
@@ -46,42 +53,72 @@ def class_weight_table(df: DataFrame, label: str, powers: dict[str, float]) -> D
     return base.select(label, "n", *[F.pow("_r", F.lit(float(p))).alias(name) for name, p in powers.items()])
 
 
-def _theta(kind: str, alpha: float, size: int, totals: list[float]) -> Column:
-    if kind == "multinomial":
-        below = F.array(*[F.lit(t + alpha * size) for t in totals])
-        return F.zip_with("s", below, lambda s, b: F.log((s + alpha) / b))
-    if kind == "complement":
-        everything = sum(totals)
-        below = F.array(*[F.lit(everything - t + alpha * size) for t in totals])
-        all_classes = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with("s", below, lambda s, b: -F.log((all_classes - s + alpha) / b))
-    raise ValueError(f"unknown kind {kind!r}")
-
-
 def fit_sums(docs: DataFrame, block: Block, label: str, id: str = "doc_id", text: str = "text"):
-    """Weight sums per term and class; several models can share them."""
+    """Class counts and weight sums ``(term, idf, cells)``; several models can share them."""
     if docs.limit(1).count() == 0:
         raise ValueError("Cannot fit on an empty table.")
     counts = class_counts(docs, label)
     if len(counts) < 2:
         raise ValueError("A classifier needs at least two classes.")
     vocabulary = fit_vocabulary(docs, block, id, text)
-    weights = transform(docs, vocabulary, block, id, text, carry=(label,))
-    sums = weights.groupBy("term").agg(F.array(*[
-        F.coalesce(F.sum(F.when(F.col(label) == c, F.col("w"))), F.lit(0.0)) for c in counts]).alias("s"))
-    table = stage(sums.join(vocabulary.select("term", "idf"), "term"))
-    return counts, table
+    cells = _cells(transform(docs, vocabulary, block, id, text, carry=(label,)), label, counts)
+    return counts, stage(vocabulary.select("term", "idf").join(cells, "term", "left"))
+
+
+def _cells(weights: DataFrame, label: str, counts: dict) -> DataFrame:
+    """``(term, cells)``: the class number and weight sum of every class in which the term occurs, in class order."""
+    kind = weights.schema[label].dataType.simpleString()
+    numbers = weights.sparkSession.createDataFrame([(i, c) for i, c in enumerate(counts)], f"c int, _l {kind}")
+    sums = weights.groupBy("term", label).agg(F.sum("w").alias("s"))
+    return sums.join(numbers, F.col(label).eqNullSafe(F.col("_l"))).groupBy("term").agg(
+        F.array_sort(F.collect_list(F.struct("c", "s"))).alias("cells"))
+
+
+def literal_array(values, kind: str) -> Column:
+    """An array as one literal of the plan, whatever its length."""
+    return F.from_json(F.lit(json.dumps(list(values), default=str)), f"array<{kind}>")
+
+
+def models_from_sums(counts: dict, sums: DataFrame, block: Block | None, candidates: list[tuple[str, float]]) -> BayesModel:
+    """One table for all ``(kind, alpha)`` candidates over the same sums.
+
+    A score is a class constant, plus the total weight of the text times the slope of the class, plus what each term adds
+    in all classes, plus corrections of the cells in which the term occurs. Only these cells are stored.
+    """
+    kinds = {kind for kind, _ in candidates}
+    if kinds - {"multinomial", "complement"}:
+        raise ValueError(f"unknown kind in {sorted(kinds)}")
+    k, n = len(counts), sum(counts.values())
+    found = small_rows(sums.select(F.explode("cells").alias("x")).groupBy("x.c").agg(F.sum("x.s").alias("t")))
+    by_class = {r["c"]: r["t"] for r in found}
+    totals, size = [by_class.get(i, 0.0) for i in range(k)], sums.count()
+    everything = sum(totals)
+    cells = F.coalesce("cells", F.array().cast("array<struct<c: int, s: double>>"))
+    total = F.aggregate(cells, F.lit(0.0), lambda a, x: a + x["s"])
+    prior, slope, base = [], [], []
+
+    def gain(kind: str, alpha: float, s: Column) -> Column:
+        if kind == "multinomial":
+            return F.log(s + alpha) - math.log(alpha)
+        return F.log(F.col("_all") + alpha) - F.log(F.col("_all") - s + alpha)
+
+    for kind, alpha in candidates:
+        if kind == "multinomial":
+            prior.append([math.log(m / n) for m in counts.values()])
+            slope.append([math.log(alpha) - math.log(t + alpha * size) for t in totals])
+            base.append(F.lit(0.0))
+        else:
+            prior.append([0.0] * k)
+            slope.append([math.log(everything - t + alpha * size) for t in totals])
+            base.append(-F.log(F.col("_all") + alpha))
+    table = sums.withColumn("_all", total).select(
+        "term", "idf", F.array(*base).alias("base"),
+        F.transform(cells, lambda x: F.struct(x["c"].alias("c"), F.array(*[gain(q, a, x["s"]) for q, a in candidates]).alias("d"))).alias("cells"))
+    return BayesModel(list(candidates), list(counts), prior, slope, block, table)
 
 
 def model_from_sums(counts: dict, sums: DataFrame, block: Block | None, kind: str, alpha: float) -> BayesModel:
-    k = len(counts)
-    row = sums.agg(F.count("*").alias("size"), *[F.sum(F.get("s", F.lit(i))).alias(f"t{i}") for i in range(k)]).first()
-    theta = _theta(kind, alpha, row["size"], [row[f"t{i}"] for i in range(k)])
-    n = sum(counts.values())
-    prior = [math.log(m / n) for m in counts.values()] if kind == "multinomial" else [0.0] * k
-    return BayesModel(kind, list(counts), prior, block, sums.select("term", "idf", theta.alias("theta")))
-
-
+    return models_from_sums(counts, sums, block, [(kind, alpha)])
 
 
 def fit(docs: DataFrame, block: Block, label: str, kind: str = "multinomial", alpha: float = 1.0,
@@ -100,30 +137,70 @@ def sums_of_weights(weights: DataFrame, docs: DataFrame, label: str):
     counts = class_counts(docs, label)
     if len(counts) < 2:
         raise ValueError("A classifier needs at least two classes.")
-    sums = block_terms(weights).groupBy("term").agg(F.array(*[
-        F.coalesce(F.sum(F.when(F.col(label) == c, F.col("w"))), F.lit(0.0)) for c in counts]).alias("s"))
-    return counts, stage(sums.withColumn("idf", F.lit(1.0)))
+    return counts, stage(_cells(block_terms(weights), label, counts).withColumn("idf", F.lit(1.0)))
 
 
 def predict_weights(model: BayesModel, weights: DataFrame, docs: DataFrame, id: str = "doc_id", carry=()) -> DataFrame:
     """As ``predict``, for rows of ``docs`` whose weights over any blocks are given."""
-    known = block_terms(weights).select(id, "term", "w").join(model.table.select("term", "theta"), "term")
+    known = block_terms(weights).select(id, "term", "w").join(model.table.select("term", "base", "cells"), "term")
     return _scored(model, known, docs, id, carry)
 
 
 def predict(model: BayesModel, docs: DataFrame, id: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
-    """``(id, *carry, y_pred, conf, scores)``; documents without known terms get the prior."""
-    return _scored(model, transform(docs, model.table, model.block, id, text, extra=("theta",)), docs, id, carry)
+    """``(id, *carry, y_pred, conf, scores)``; documents without known terms get the prior. A model of several candidates
+    gives one row for each, with its number in ``candidate``."""
+    return _scored(model, transform(docs, model.table, model.block, id, text, extra=("base", "cells")), docs, id, carry)
+
+
+#: Numbers of the two sums that no class owns: the total weight of a text, and what its terms add in all classes.
+_WEIGHT, _BASE = -2, -1
+
+
+def _filled(cells: Column, k: int, empty: Column) -> Column:
+    """The cells ``(c, d)`` of all classes in order, with ``empty`` where there is none; sorting, not searching, places them."""
+    absent = F.array_except(F.sequence(F.lit(0), F.lit(k - 1)), F.transform(cells, lambda x: x["c"]))
+    return F.array_sort(F.concat(cells, F.transform(absent, lambda c: F.struct(c.alias("c"), empty.alias("d")))))
 
 
 def _scored(model: BayesModel, weights: DataFrame, docs: DataFrame, id: str, carry) -> DataFrame:
-    k = len(model.classes)
-    summed = weights.groupBy(id).agg(*[
-        F.sum(F.col("w") * F.get("theta", F.lit(i))).alias(f"_s{i}") for i in range(k)])
-    scored = docs.select(id, *carry).join(summed, id, "left")
-    scores = F.array(*[F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(model.prior[i]) for i in range(k)])
-    out = scored.select(id, *carry, scores.alias("scores"))
-    return with_label(out, model.classes)
+    k, j = len(model.classes), len(model.candidates)
+    cell = "array<struct<c: int, d: array<double>>>"
+    own = F.array(F.struct(F.lit(_WEIGHT).alias("c"), F.array(*[F.lit(1.0)] * j).alias("d")), F.struct(F.lit(_BASE).alias("c"), F.col("base").alias("d")))
+    long = weights.select(id, "w", F.explode(F.concat(own.cast(cell), F.col("cells").cast(cell))).alias("x"))
+    sums = long.groupBy(id, F.col("x.c").alias("c")).agg(F.array(*[F.sum(F.col("w") * F.get("x.d", F.lit(i))) for i in range(j)]).alias("d"))
+    per = sums.groupBy(id).agg(F.collect_list(F.struct("c", "d")).cast(cell).alias("_cells"))
+    none = F.array(*[F.lit(0.0)] * j)
+    rows = docs.select(id, *carry).join(per, id, "left").withColumn("_cells", F.coalesce("_cells", F.array().cast(cell)))
+
+    def of_no_class(number: int) -> Column:
+        return F.coalesce(F.get(F.filter("_cells", lambda x: x["c"] == number), F.lit(0))["d"], none)
+
+    rows = rows.select(id, *carry, of_no_class(_WEIGHT).alias("_w"), of_no_class(_BASE).alias("_b"),
+                       _filled(F.filter("_cells", lambda x: x["c"] >= 0), k, none).alias("_d"))
+
+    def scores(i: int) -> Column:
+        parts = F.arrays_zip(F.col("_d.d").alias("d"), literal_array(model.prior[i], "double").alias("p"), literal_array(model.slope[i], "double").alias("g"))
+        return F.transform(parts, lambda x: x["p"] + F.get("_w", F.lit(i)) * x["g"] + F.get("_b", F.lit(i)) + F.get(x["d"], F.lit(i)))
+
+    made = [scores(i) for i in range(j)]
+    if j == 1:
+        return with_label(rows.select(id, *carry, made[0].alias("scores")), model.classes)
+    return with_label(rows.select(id, *carry, F.posexplode(F.array(*made)).alias("candidate", "scores")), model.classes)
+
+
+def term_scores(model: BayesModel) -> DataFrame:
+    """Long form ``(term, label, theta)`` of the first candidate, for all classes: what one unit of the term adds to a class."""
+    zero = F.array(*[F.lit(0.0)] * len(model.candidates))
+    full = model.table.withColumn("_d", _filled(F.col("cells"), len(model.classes), zero))
+    zipped = F.arrays_zip(_names(model.classes).alias("label"), literal_array(model.slope[0], "double").alias("g"), F.col("_d.d").alias("d"))
+    return full.select("term", "base", F.explode(zipped).alias("x")).select(
+        "term", F.col("x.label").alias("label"), (F.col("x.g") + F.get("base", F.lit(0)) + F.get("x.d", F.lit(0))).alias("theta"))
+
+
+def _names(classes: list) -> Column:
+    if all(isinstance(c, str) or c is None for c in classes):
+        return literal_array(classes, "string")
+    return F.array(*[F.lit(c) for c in classes])
 
 
 def softmax(scores: Column) -> Column:
@@ -136,7 +213,7 @@ def softmax(scores: Column) -> Column:
 def with_label(df: DataFrame, classes: list) -> DataFrame:
     """Best class (ties: first label) and its softmax share."""
     rounded = F.transform("scores", lambda s: F.round(s, 9))
-    names = F.array(*[F.lit(c) for c in classes])
+    names = _names(classes)
     best = F.element_at(names, F.array_position(rounded, F.array_max(rounded)).cast("int"))
     return df.withColumn("_p", softmax(F.col("scores"))).withColumns(
         {"y_pred": best, "conf": F.array_max("_p")}).drop("_p")
@@ -145,13 +222,13 @@ def with_label(df: DataFrame, classes: list) -> DataFrame:
 def class_scores(df: DataFrame, classes: list, id: str = "doc_id", probability: bool = True) -> DataFrame:
     """Long form ``(id, label, score)``."""
     values = softmax(F.col("scores")) if probability else F.col("scores")
-    names = F.array(*[F.lit(c) for c in classes])
+    names = _names(classes)
     return df.select(id, F.inline(F.arrays_zip(names.alias("label"), values.alias("score"))))
 
 
 def top_classes(df: DataFrame, classes: list, n: int = 5, id: str = "doc_id") -> DataFrame:
     """The ``n`` likeliest classes per row: sorted inside the row, no shuffle."""
-    names = F.array(*[F.lit(c) for c in classes])
+    names = _names(classes)
     pairs = F.transform(F.arrays_zip(names.alias("label"), softmax(F.col("scores")).alias("p")),
                         lambda x: F.struct((-F.round(x["p"], 9)).alias("o"), x["label"].alias("label"), x["p"].alias("p")))
     best = F.slice(F.array_sort(pairs), 1, n)

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from narrata.operators import linear
+from narrata.operators import bayes, linear
 from narrata.operators import tfidf as V
 from narrata.plans import experiments as X
 from narrata.plans import sql as S
 from narrata.plans.queries_features import processed
-from narrata.plans.queries_models import ALPHA, labelled, narrow
+from narrata.plans.queries_models import ALPHA, labelled, model, narrow
 from narrata.plans.queries_text import _HITS, _hit_pages
 from narrata.plans.registry import query, shared, table
-from narrata.session import stage, staging_root
+from narrata.plans.search import ALPHAS, Classifier, Search, search_report
+from narrata.session import owned_path, stage
+from narrata.sources import csv_scan
 from narrata.streaming import ingest
 
 RETIRED = ["src0", "src3", "src5", "src7"]
@@ -66,13 +66,104 @@ def chronological_experiment(spark, sf_dir):
 @query("streamed_hits", f"WITH {_HITS} SELECT complaint_id, category, text, issue FROM hits")
 def streamed_hits(spark, sf_dir):
     """The landed pages read as a stream until all files are taken; equals the batch result."""
-    root = f"{staging_root(spark)}/stream-{uuid.uuid4().hex}"
+    root = owned_path(spark, "stream")
     _hit_pages(spark, sf_dir).select("hits").write.json(f"{root}/in")
     records = ingest.read_pages(spark, f"{root}/in", one_page_per_file=False)
     ingest.write_records(records, f"{root}/out", f"{root}/state").awaitTermination()
     return spark.read.parquet(f"{root}/out").select("complaint_id", "category", "text", "issue")
 
 
+#: Hits of every seventh turn have no date; the others have one of twenty days by their conversation.
+_DAY = "CASE WHEN turn % 7 <> 3 THEN CAST(DATE '2024-01-01' + CAST(conv_id % 20 AS INTEGER) AS VARCHAR) END"
+
+
+@query("streamed_unique_hits", f"""WITH h AS (SELECT CASE WHEN turn > 0 THEN conv_id || '-' || turn ELSE 'h' || conv_id || '-' || turn END AS complaint_id, {_DAY} AS d FROM conversations)
+ SELECT complaint_id, d AS date_received, 'unique' AS fate FROM h WHERE d IS NOT NULL UNION ALL SELECT complaint_id, d, 'undated' FROM h, range(3) WHERE d IS NULL""")
+def streamed_unique_hits(spark, sf_dir):
+    """All pages land three times, one landing a micro-batch: dated records leave their repeats, undated ones keep every copy."""
+    root = owned_path(spark, "stream")
+    day = F.when(F.expr("element_at(split(coalesce(hit._source.complaint_id, hit._id), '-'), -1) % 7 <> 3"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("conv_id") % 20))
+    hits = _hit_pages(spark, sf_dir).select("conv_id", F.explode("hits.hits").alias("hit")).withColumn("_d", day.cast("string"))
+    page = hits.groupBy("conv_id").agg(F.collect_list(F.col("hit").withField("_source", F.col("hit._source").withField("date_received", F.col("_d")))).alias("hits"))
+    pages = stage(page.select(F.struct("hits").alias("hits")))
+    for _ in range(3):
+        pages.write.mode("append").json(f"{root}/in")
+    for stream in ingest.write_unique(ingest.read_pages(spark, f"{root}/in", len(pages.inputFiles()), one_page_per_file=False), f"{root}/out", f"{root}/state", "30 days"):
+        stream.awaitTermination()
+    parts = [spark.read.parquet(f"{root}/out/{fate}").select("complaint_id", "date_received", F.lit(fate).alias("fate")) for fate in ("unique", "undated")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("streamed_scores", f"""WITH {S.corpus()}, {_HITS}, new AS (SELECT complaint_id AS doc_id, NULL::VARCHAR AS label, {S.processed('text')} AS c FROM hits), heard AS (SELECT * FROM new WHERE c <> ''),
+ {S.bayes('ps', held='heard')} SELECT doc_id AS complaint_id, y_pred, round(conf, 6) AS conf FROM ps""")
+def streamed_scores(spark, sf_dir):
+    """Landed pages scored micro-batch by micro-batch with the model of the labelled documents."""
+    root = owned_path(spark, "stream")
+    _hit_pages(spark, sf_dir).select("hits").write.json(f"{root}/in")
+    known = model(spark, sf_dir)
+    score = lambda rows: bayes.predict(known, rows, "complaint_id").select("complaint_id", "y_pred", "conf")
+    records = ingest.read_pages(spark, f"{root}/in", 2, one_page_per_file=False)
+    ingest.score_stream(records, score, f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("complaint_id", "y_pred", "conf")
+
+
+@query("csv_round_trip", "SELECT doc_id::VARCHAR AS doc_id, source, lang, n_chars::VARCHAR AS n_chars, text FROM documents")
+def csv_round_trip(spark, sf_dir):
+    """Documents as quoted CSV with line ends inside texts, read back by byte ranges."""
+    root = owned_path(spark, "csv")
+    docs = table(spark, sf_dir, "documents").select(*[F.col(c).cast("string") for c in ("doc_id", "source", "lang", "n_chars", "text")])
+    docs.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(root)
+    return csv_scan.scan(spark, root, docs.schema)
+
+
+# ---- model search over Bayes candidates: one pass a feature spec ----
+
+
+GRID = [(kind, alpha) for kind in ("complement", "multinomial") for alpha in ALPHAS]
+
+
+def searched(spark, sf_dir):
+    """Results of two steps of the search, words alone and with bigrams, on the split of the error analysis."""
+
+    def build():
+        d = labelled(spark, sf_dir)
+        search = Search(spark, d.filter("split = 'pool'"), d.filter("split = 'test'"), owned_path(spark, "search"))
+        candidates = [Classifier(kind, alpha=a) for kind, a in GRID]
+        search.run_stage("words", [V.FeatureSpec(word=V.WORD_UNIGRAMS)], candidates)
+        return search.run_stage("bigrams", [V.FeatureSpec(word=V.WORD_BIGRAMS)], candidates)
+
+    return shared(spark, sf_dir, "searched", build)
+
+
+_FOUND = f"""WITH {S.corpus()}, cand AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {a}::DOUBLE)" for k, a in GRID)}) AS t(model, alpha)),
+ {S.bayes_grid('gu', 'words', 1, 1)}, {S.bayes_grid('gb', 'bigrams', 1, 2)}, found AS (SELECT * FROM gu UNION ALL SELECT * FROM gb)"""
+_SHOWN = "stage, model, alpha, " + S.rounded(S.METRICS)
+
+
+def shown(results):
+    return results.select("stage", "model", F.get_json_object("params", "$.alpha").cast("double").alias("alpha"), *S.METRICS)
+
+
+@query("search_by_stage", f"{_FOUND} SELECT stage, count(*) AS n, round(min(accuracy), 6) + 0.0 AS accuracy_min, round(max(accuracy), 6) + 0.0 AS accuracy_max, round(max(macro_f1), 6) + 0.0 AS macro_f1_max, 0::BIGINT AS n_unconverged FROM found GROUP BY 1")
+def search_by_stage(spark, sf_dir):
+    return search_report(searched(spark, sf_dir))["stages"]
+
+
+@query("search_best_by_model", f"{_FOUND} SELECT {_SHOWN} FROM found QUALIFY row_number() OVER (PARTITION BY model ORDER BY round(macro_f1, 9) DESC, round(accuracy, 9) DESC, stage DESC, model, alpha) = 1")
+def search_best_by_model(spark, sf_dir):
+    return shown(search_report(searched(spark, sf_dir))["best_by_model"])
+
+
+@query("search_top_three", f"{_FOUND} SELECT {_SHOWN} FROM found ORDER BY round(accuracy, 9) DESC, round(macro_f1, 9) DESC, stage DESC, model, alpha LIMIT 3")
+def search_top_three(spark, sf_dir):
+    return shown(search_report(searched(spark, sf_dir))["best_by_accuracy"])
+
+
+@query("search_range", f"{_FOUND} SELECT count(*) AS n, round(min(accuracy), 6) + 0.0 AS accuracy_min, round(max(accuracy), 6) + 0.0 AS accuracy_max, round(quantile_cont(accuracy, 0.9), 6) + 0.0 AS accuracy_p90, round(min(macro_f1), 6) + 0.0 AS macro_f1_min, round(max(macro_f1), 6) + 0.0 AS macro_f1_max, 0::BIGINT AS n_unconverged FROM found")
+def search_range(spark, sf_dir):
+    return search_report(searched(spark, sf_dir))["range"]
+
+
 # ---- linear models: iterative solvers, no SQL twin ----
 
 

@@ -121,10 +121,7 @@ def top_classes(spark, sf_dir):
 def top_class_terms(spark, sf_dir):
     from narrata.operators.ranking import first_per_key
 
-    m = model(spark, sf_dir)
-    names = F.array(*[F.lit(c) for c in m.classes])
-    long = m.table.select("term", F.inline(F.arrays_zip(names.alias("label"), F.col("theta"))))
-    return first_per_key(long, ["label"], [F.desc(F.round("theta", 9)), "term"], 25).select("label", "rank", "term", "theta")
+    return first_per_key(B.term_scores(model(spark, sf_dir)), ["label"], [F.desc(F.round("theta", 9)), "term"], 25).select("label", "rank", "term", "theta")
 
 
 @query("model_agreement", f"""{_AB}, j AS (SELECT pa.y_true AS t, pa.y_pred AS a, pb.y_pred AS b FROM pa JOIN pb USING (doc_id))

@@ -202,3 +202,33 @@ def metrics_of(preds: str, n: str) -> str:
     """CTEs {n}_cells, {n}_classes and {n}_sum."""
     return (f"{n}_cells AS ({confusion(preds)}), {n}_classes AS ({per_class(n + '_cells')}), "
             f"{n}_sum AS ({summary(n + '_classes')})")
+
+
+def bayes_grid(name: str, stage: str, low: int, high: int, min_df: int = 2, pool: str = "pool", held: str = "held") -> str:
+    """CTEs ending in ``{name}``: metrics of every candidate ``(model, alpha)`` of the CTE ``cand``."""
+    n = name
+    theta = ("CASE WHEN model = 'multinomial' THEN ln((coalesce(s, 0.0) + alpha) / (st + alpha * v)) "
+             "ELSE -ln((tt - coalesce(s, 0.0) + alpha) / (gt - st + alpha * v)) END")
+    grouped = (f"SELECT model, alpha, category, sum(s)::BIGINT AS support, sum(p)::BIGINT AS predicted, sum(t)::BIGINT AS correct FROM ("
+               f"SELECT model, alpha, y_true AS category, n AS s, 0 AS p, CASE WHEN y_true = y_pred THEN n ELSE 0 END AS t FROM {n}_cells UNION ALL "
+               f"SELECT model, alpha, y_pred, 0, n, 0 FROM {n}_cells) GROUP BY ALL")
+    return f"""
+{n}_tf AS ({term_counts(pool, 'word', low, high, 'doc_id, label')}),
+{n}_v AS ({vocabulary(n + '_tf', pool, min_df, 0.95)}),
+{n}_w AS ({weights(n + '_tf', n + '_v', keys='doc_id, label')}),
+{n}_s AS (SELECT label, term, sum(w) AS s FROM {n}_w GROUP BY ALL),
+{n}_c AS (SELECT label, m, coalesce(st, 0.0) AS st, v, gt FROM (SELECT label, count(*) AS m FROM {pool} GROUP BY 1)
+  LEFT JOIN (SELECT label, sum(s) AS st FROM {n}_s GROUP BY 1) USING (label), (SELECT count(*) AS v FROM {n}_v), (SELECT sum(s) AS gt FROM {n}_s)),
+{n}_t AS (SELECT model, alpha, c.label, x.term, {theta} AS theta FROM cand CROSS JOIN {n}_c c CROSS JOIN (SELECT term, sum(s) AS tt FROM {n}_s GROUP BY 1) x
+  LEFT JOIN {n}_s s ON s.label = c.label AND s.term = x.term),
+{n}_hw AS ({weights('(' + term_counts(held, 'word', low, high) + ')', n + '_v')}),
+{n}_dot AS (SELECT doc_id, model, alpha, label, sum(w * theta) AS d FROM {n}_hw JOIN {n}_t USING (term) GROUP BY ALL),
+{n}_best AS (SELECT h.doc_id, h.label AS y_true, model, alpha, c.label AS y_pred FROM {held} h CROSS JOIN cand CROSS JOIN {n}_c c LEFT JOIN {n}_dot x USING (doc_id, model, alpha)
+  WHERE x.label IS NULL OR x.label = c.label
+  QUALIFY row_number() OVER (PARTITION BY h.doc_id, model, alpha ORDER BY round(coalesce(d, 0.0) + CASE WHEN model = 'multinomial' THEN ln(m * 1.0 / (SELECT count(*) FROM {pool})) ELSE 0.0 END, 9) DESC, c.label) = 1),
+{n}_cells AS (SELECT model, alpha, y_true, y_pred, count(*) AS n FROM {n}_best GROUP BY ALL),
+{n}_classes AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE correct * 1.0::DOUBLE / predicted END AS precision, CASE WHEN support = 0 THEN 0.0 ELSE correct * 1.0::DOUBLE / support END AS recall,
+  CASE WHEN support + predicted = 0 THEN 0.0 ELSE 2.0::DOUBLE * correct / (support + predicted) END AS f1 FROM ({grouped})),
+{n} AS (SELECT '{stage}' AS stage, x.* FROM (SELECT model, alpha, sum(correct)::DOUBLE / sum(support) AS accuracy, avg(precision) AS macro_precision,
+  avg(recall) AS macro_recall, avg(f1) AS macro_f1, sum(precision * support) / sum(support) AS weighted_precision, sum(recall * support) / sum(support) AS weighted_recall,
+  sum(f1 * support) / sum(support) AS weighted_f1 FROM {n}_classes GROUP BY ALL) x)"""

@@ -51,15 +51,21 @@ def stage(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     table, so that it broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/stage-{uuid.uuid4().hex}"
+    path = owned_path(spark, "stage")
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def owned_path(spark: SparkSession, kind: str) -> str:
+    """A new folder name under the staging root, which ``release`` deletes with the staged tables."""
+    path = f"{staging_root(spark)}/{kind}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables this session has staged so far; returns their number. Call it once results are written:
     what reads a staged table fails from then on."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from narrata.functions.text import is_blank
+from narrata.sources import csv_scan
 
 # Column names that can fill each role, in order of preference.
 TEXT_COLUMNS = ("Consumer Complaint", "Consumer complaint narrative", "complaint_what_happened", "complaint_text", "text")
@@ -58,17 +59,17 @@ def drop_invalid(df: DataFrame, text: str = "text", category: str = "category")
 
 
 def load_csv(spark: SparkSession, path: str, nrows: int | None = None, invalid_rows: bool = True,
-             canonical: bool = True, schema: StructType | None = None, header_schema: bool = False) -> DataFrame:
+             canonical: bool = True, schema: StructType | None = None, header_schema: bool = False, splittable: bool = False) -> DataFrame:
     """Scan complaint CSV files. All columns are strings and nothing is inferred from the data.
 
-    ``header_schema`` takes the column names from the header for files with another layout.
-    A missing path or a table without rows raises.
+    ``header_schema`` takes the column names from the header for files with another layout. ``splittable`` reads each file
+    in several tasks (``csv_scan``), for files that are too large for one. A missing path or a table without rows raises.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
     if not header_schema:
         reader = reader.schema(schema or CSV_SCHEMA).option("enforceSchema", False)
     try:
-        df = reader.csv(path)
+        df = csv_scan.scan(spark, path, None if header_schema else schema or CSV_SCHEMA) if splittable else reader.csv(path)
     except Exception as err:
         if "PATH_NOT_FOUND" in str(err):
             raise FileNotFoundError(f"Dataset not found: {path}") from err

@@ -20,10 +20,34 @@ def read_pages(spark: SparkSession, path: str, max_files: int | None = None, one
     return hits_of(reader.json(path), []).select(*[F.col(f"`{c}`") for c in COLUMNS])
 
 
+def received(records: DataFrame) -> DataFrame:
+    """Add ``received_at``; null where there is no date that can be read."""
+    return records.withColumn("received_at", F.try_to_timestamp("date_received"))
+
+
 def drop_repeats(records: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Keep one record per id while its received time is within ``delay``; state is dropped after it."""
-    timed = records.withColumn("received_at", F.try_to_timestamp("date_received"))
-    return timed.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["complaint_id"])
+    """Keep one dated record per id while its received time is within ``delay``; state is dropped after it.
+
+    Records without a date are not kept here, as no watermark would ever drop their state: see ``undated``. A record more
+    than ``delay`` behind the latest date of earlier micro-batches is late; it is left out and counted by ``late_rows``.
+    """
+    return received(records).filter("received_at is not null").withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["complaint_id"])
+
+
+def undated(records: DataFrame) -> DataFrame:
+    """Records without a date that can be read, every copy of them: they have a sink of their own."""
+    return received(records).filter("received_at is null")
+
+
+def write_unique(records: DataFrame, path: str, checkpoint: str, delay: str = "7 days") -> list[StreamingQuery]:
+    """Two streams until all files are taken: unique dated records to ``path/unique``, the undated to ``path/undated``."""
+    return [write_records(drop_repeats(records, delay), f"{path}/unique", f"{checkpoint}/unique"),
+            write_records(undated(records), f"{path}/undated", f"{checkpoint}/undated")]
+
+
+def late_rows(stream: StreamingQuery) -> int:
+    """Records that the watermark has left out in the micro-batches the stream still reports."""
+    return sum(s["numRowsDroppedByWatermark"] for p in stream.recentProgress for s in p["stateOperators"])
 
 
 def write_records(records: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

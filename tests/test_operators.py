@@ -504,3 +504,46 @@ def test_newton_reaches_the_optimum(spark, loss):
         N.predict(train.drop("c", "x_2"), model, 3, loss, "id")
     with pytest.raises(ValueError, match="empty"):
         N.fit(train.limit(0), N.units_of(train), 3, loss)
+
+
+@pytest.mark.parametrize("kind", ["multinomial", "complement"])
+def test_bayes_of_many_classes(spark, kind):
+    """3,000 classes, each with a word of its own: the plan is as small as that of three, the scores equal the closed form."""
+    import math
+
+    def plan(k):
+        rows = [(i, f"own{i} common{i % 7} all", f"class{i}") for i in range(k)]
+        d = spark.createDataFrame(rows, "doc_id long, text string, label string")
+        m = B.fit(d, V.Block("word", norm=None), "label", kind, 0.1)
+        p = B.predict(m, d.withColumnRenamed("label", "y_true"), carry=("y_true",))
+        return m, p, len(p._jdf.queryExecution().analyzed().toString().splitlines())
+
+    m, p, lines = plan(3000)
+    assert lines == plan(3)[2]
+    assert p.filter("y_true = y_pred").count() == 3000
+    got = p.filter("doc_id = 5").first()["scores"]
+    w = {t: math.log(3001 / (1 + df)) + 1 for t, df in (("own5", 1), ("all", 3000), ("common5", sum(i % 7 == 5 for i in range(3000))))}
+    size, every = 3000 + 7 + 1, {}
+    for i in range(3000):
+        every[i] = {f"own{i}": w["own5"], f"common{i % 7}": math.log(3001 / (1 + sum(x % 7 == i % 7 for x in range(3000)))) + 1 if i < 7 else None, "all": w["all"]}
+        every[i][f"common{i % 7}"] = every[i % 7][f"common{i % 7}"]
+    totals = {t: sum(e.get(t, 0.0) for e in every.values()) for t in w}
+    grand = sum(sum(e.values()) for e in every.values())
+    for c in (0, 5, 12, 2999):
+        own = sum(every[c].values())
+        if kind == "multinomial":
+            want = math.log(1 / 3000) + sum(x * math.log((every[c].get(t, 0.0) + 0.1) / (own + 0.1 * size)) for t, x in w.items())
+        else:
+            want = -sum(x * math.log((totals[t] - every[c].get(t, 0.0) + 0.1) / (grand - own + 0.1 * size)) for t, x in w.items())
+        assert got[c] == pytest.approx(want, abs=1e-6)
+
+
+def test_bayes_candidates_in_one_pass(spark):
+    d = docs(spark, ["card charge fee", "card fee", "loan escrow", "escrow house loan"], ["a", "a", "b", "b"])
+    counts, sums = B.fit_sums(d, V.Block("word"), "label")
+    grid = [("multinomial", 0.1), ("complement", 0.3), ("multinomial", 2.0)]
+    new = docs(spark, ["card loan", "escrow", "", "zzz"])
+    together = {(r["doc_id"], r["candidate"]): r["scores"] for r in B.predict(B.models_from_sums(counts, sums, V.Block("word"), grid), new).collect()}
+    for j, (kind, alpha) in enumerate(grid):
+        for r in B.predict(B.model_from_sums(counts, sums, V.Block("word"), kind, alpha), new).collect():
+            assert together[r["doc_id"], j] == pytest.approx(r["scores"])

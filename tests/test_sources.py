@@ -149,3 +149,52 @@ def test_staged_tables_are_released_and_changed_inputs_noticed(spark, tmp_path):
     assert registry.shared(spark, f"{tmp_path}/in", "t", build).count() == 5
     assert len(set(os.listdir(staging_root(spark))) - before) == 2
     assert registry.forget(spark) >= 2 and not set(os.listdir(staging_root(spark))) - before
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_scan_over_byte_ranges(spark, tmp_path, end):
+    """Small ranges cut records, quoted line ends and one record of many ranges; the rows are those of a whole read."""
+    from narrata.sources import csv_scan
+
+    texts = ["plain", "two\nlines", 'say "hi"\n\n"', "", None, "a,b", "\nstarts", '"', "long\n" * 900, "x" * 700, "Größe\n漢字", " \n "] * 6
+    quoted = ["" if t is None else '""' if t == "" else '"' + t.replace('"', '""') + '"' for t in texts]
+    for name, part in (("a.csv", range(40)), ("b.csv", range(40, len(texts)))):
+        with open(tmp_path / name, "w", encoding="utf-8", newline="") as f:
+            f.write(end.join(["id,text", *[f"{i},{quoted[i]}" for i in part]]) + (end if name == "a.csv" else ""))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (257, 1024, 1 << 20):
+            for k in old:
+                spark.conf.set(k, str(size))
+            got = csv_scan.scan(spark, str(tmp_path))
+            assert sorted((int(r["id"]), r["text"]) for r in got.collect()) == [(i, t or None if t is None else t) for i, t in enumerate(texts)]
+            if size == 257:
+                assert csv_scan.physical_lines(spark, str(tmp_path)).select("range").distinct().count() > 20
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert TB.load_csv(spark, str(tmp_path / "a.csv"), schema=got.schema, canonical=False, splittable=True).count() == 40
+    with pytest.raises(ValueError):
+        csv_scan.scan(spark, str(tmp_path), TB.CSV_SCHEMA)
+
+
+def test_late_and_undated_records_of_a_stream(spark, tmp_path):
+    def dated(id, day):
+        h = hit(id, "t")
+        h["_source"]["date_received"] = day
+        return h
+
+    batches = [[dated("1", "2024-01-01"), dated("2", None)], [dated("1", "2024-01-01"), dated("3", "2024-03-01"), dated("2", "soon")],
+               [dated("4", "2024-02-28"), dated("5", "2024-01-02")], [dated("5", "2024-01-02"), dated("3", "2024-03-01")]]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    unique, other = None, None
+    for i, hits in enumerate(batches):  # each landing is taken before the next comes, so that the watermark is known
+        (folder / f"p{i}.json").write_text(json.dumps({"hits": {"hits": hits}}))
+        unique, other = ingest.write_unique(ingest.read_pages(spark, str(folder), 1), str(tmp_path / "out"), str(tmp_path / "state"))
+        unique.awaitTermination(), other.awaitTermination()
+        if i == 2:
+            assert ingest.late_rows(unique) == 1
+    # 5 comes on a day more than a week behind the first of March; 4 does not
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out" / "unique")).select("complaint_id").collect()) == ["1", "3", "4"]
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out" / "undated")).select("complaint_id").collect()) == ["2", "2"]

@@ -74,6 +74,11 @@ def _cells(weights: DataFrame, label: str, counts: dict) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("c", "s"))).alias("cells"))
 
 
+def class_terms(counts: dict, sums: DataFrame, label: str = "category") -> DataFrame:
+    """Long form ``(label, term, s)`` of the cells with weight."""
+    return sums.select("term", F.explode("cells").alias("x")).select(F.get(_names(list(counts)), F.col("x.c")).alias(label), "term", "x.s")
+
+
 def literal_array(values, kind: str) -> Column:
     """An array as one literal of the plan, whatever its length."""
     return F.from_json(F.lit(json.dumps(list(values), default=str)), f"array<{kind}>")

@@ -51,9 +51,11 @@ def confidence_statistics(preds: DataFrame, columns: dict[str, str]) -> DataFram
 
 
 def confidence_errors(preds: DataFrame) -> DataFrame:
+    """Counts of errors by band, and mean, median and range of the confidence of all predictions."""
     wrong = F.col("y_true") != F.col("y_pred")
+    median = quantiles(preds.select(F.lit("all").alias("g"), "conf"), "g", "conf", [0.5]).get("all", [None])[0]
     return preds.agg(
-        F.count_if(wrong).alias("errors"), F.count_if(wrong & (F.col("conf") >= HIGH)).alias("high_confidence_errors"),
+        F.lit(median).cast("double").alias("median_confidence"), F.count_if(wrong).alias("errors"), F.count_if(wrong & (F.col("conf") >= HIGH)).alias("high_confidence_errors"),
         F.count_if(wrong & (F.col("conf") < MEDIUM)).alias("low_confidence_errors"),
         F.avg("conf").alias("mean_confidence"), F.min("conf").alias("min_confidence"), F.max("conf").alias("max_confidence"),
         F.count_if(F.col("conf") < 0.5).alias("below_half"),
@@ -296,8 +298,14 @@ def separability(confusion: DataFrame, class_pairs: DataFrame, mapping: DataFram
                         (F.col("_ga") == F.col("_gb")).alias("same_group"))
 
 
-def class_separability(confusion: DataFrame, class_pairs: DataFrame, mapping: DataFrame, word_means: DataFrame) -> DataFrame:
-    """Per class: errors, errors to siblings, two main alternatives, nearest classes, mean words."""
+def class_separability(confusion: DataFrame, class_pairs: DataFrame, mapping: DataFrame, word_means: DataFrame, term_sums: DataFrame,
+                       n_words: int = 10) -> DataFrame:
+    """Per class: group, support and scores, errors, errors to siblings, two main alternatives, nearest classes, mean words,
+    and the words with the largest sums of ``term_sums (category, term, s)``."""
+    scores = map_labels(per_class(confusion), mapping, "category", "normalized_group").select(
+        "category", "normalized_group", "support", "precision", "recall", "f1")
+    words = first_per_key(term_sums, ["category"], [F.desc(F.round("s", 9)), F.asc("term")], n_words).groupBy("category").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda x: x["term"]), ", ").alias("top_words"))
     pairs = sibling_pairs(confusion, mapping)
     errs = pairs.groupBy(F.col("y_true").alias("category")).agg(
         F.sum("n").alias("errors"), F.sum(F.when(F.col("is_sibling"), F.col("n")).otherwise(0)).alias("errors_to_siblings"))
@@ -306,8 +314,12 @@ def class_separability(confusion: DataFrame, class_pairs: DataFrame, mapping: Da
                                  lambda x: F.concat(x["y_pred"], F.lit(" ("), x["n"].cast("string"), F.lit(")"))), "; ").alias("top_alternatives"))
     near = class_pairs.groupBy(F.col("a").alias("category")).agg(
         F.min(F.struct((-F.round("jaccard", 9)).alias("o"), F.col("b"))).alias("x"), F.max("cosine").alias("nearest_centroid_cosine"))
-    return word_means.join(errs, "category", "left").join(two, "category", "left").join(near, "category", "left").select(
-        "category", "mean_words", F.coalesce("errors", F.lit(0)).alias("errors"),
+    out = word_means
+    for part in (scores, errs, two, near, words):
+        out = out.join(part, "category", "left")
+    return out.select(
+        "category", "normalized_group", F.coalesce("support", F.lit(0)).alias("support"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")],
+        F.coalesce("top_words", F.lit("")).alias("top_words"), "mean_words", F.coalesce("errors", F.lit(0)).alias("errors"),
         F.coalesce("errors_to_siblings", F.lit(0)).alias("errors_to_siblings"),
         F.coalesce("top_alternatives", F.lit("")).alias("top_alternatives"), F.col("x.b").alias("nearest_vocab_category"),
         (-F.col("x.o")).alias("nearest_vocab_jaccard"), "nearest_centroid_cosine")

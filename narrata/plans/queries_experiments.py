@@ -82,7 +82,7 @@ _DAY = "CASE WHEN turn % 7 <> 3 THEN CAST(DATE '2024-01-01' + CAST(conv_id % 20
 def streamed_unique_hits(spark, sf_dir):
     """All pages land three times, one landing a micro-batch: dated records leave their repeats, undated ones keep every copy."""
     root = owned_path(spark, "stream")
-    day = F.when(F.expr("element_at(split(coalesce(hit._source.complaint_id, hit._id), '-'), -1) % 7 <> 3"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("conv_id") % 20))
+    day = F.when(F.expr("element_at(split(coalesce(hit._source.complaint_id, hit._id), '-'), -1) % 7 <> 3"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("conv_id") % 20).cast("int")))
     hits = _hit_pages(spark, sf_dir).select("conv_id", F.explode("hits.hits").alias("hit")).withColumn("_d", day.cast("string"))
     page = hits.groupBy("conv_id").agg(F.collect_list(F.col("hit").withField("_source", F.col("hit._source").withField("date_received", F.col("_d")))).alias("hits"))
     pages = stage(page.select(F.struct("hits").alias("hits")))

@@ -253,6 +253,15 @@ def date_votes(spark, sf_dir):
     return o.filter("split = 'test'").join(v, ["grp", "day"]).select("o_orderkey", F.col("o_orderpriority").alias("y_true"), F.col("vote").alias("y_pred"))
 
 
+@query("date_vote_lifespans", """SELECT o_orderstatus AS grp, o_orderpriority AS category, CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date,
+ round(quantile_cont((CAST(o_orderdate AS DATE) - DATE '1970-01-01')::DOUBLE, 0.5), 6) AS median_day, count(*) AS rows FROM orders GROUP BY ALL""")
+def date_vote_lifespans(spark, sf_dir):
+    """How long each label lived inside the groups in which the dates vote."""
+    o = _orders(spark, sf_dir).select(F.struct(F.col("o_orderstatus").alias("grp"), F.col("o_orderpriority").alias("category")).alias("key"), "day")
+    return temporal.lifespans(o, "key", "day").select("key.grp", "key.category", F.date_from_unix_date("first_day").alias("first_date"),
+                                                      F.date_from_unix_date("last_day").alias("last_date"), "median_day", "rows")
+
+
 @query("date_votes_by_group", f"""{_OS}, {_knn('o_orderstatus')}, p AS (SELECT grp, o_orderpriority AS t, vote FROM o JOIN votes ON qd = day AND grp = o_orderstatus WHERE split = 'test'),
  mj AS (SELECT grp, max(n)::DOUBLE / sum(n) AS maj FROM (SELECT grp, t, count(*) AS n FROM p GROUP BY ALL) GROUP BY 1)
  SELECT grp, count(*) AS n_val, round(avg((t = vote)::INT), 6) AS date_only_accuracy, round(any_value(maj), 6) AS majority_accuracy FROM p JOIN mj USING (grp) GROUP BY 1""")
@@ -408,7 +417,7 @@ def confidence_statistics(spark, sf_dir):
 
 
 @query("confidence_errors", f"""{_A} SELECT count(*) FILTER (y_true <> y_pred) AS errors, count(*) FILTER (y_true <> y_pred AND conf >= 0.7) AS high_confidence_errors, count(*) FILTER (y_true <> y_pred AND conf < 0.4) AS low_confidence_errors,
- round(avg(conf), 6) AS mean_confidence, round(min(conf), 6) AS min_confidence, round(max(conf), 6) AS max_confidence, count(*) FILTER (conf < 0.5) AS below_half, round(avg((conf < 0.5)::INT) * 100, 6) AS below_half_pct FROM pa""")
+ round(avg(conf), 6) AS mean_confidence, round(min(conf), 6) AS min_confidence, round(max(conf), 6) AS max_confidence, count(*) FILTER (conf < 0.5) AS below_half, round(avg((conf < 0.5)::INT) * 100, 6) AS below_half_pct, round(quantile_cont(conf, 0.5), 6) AS median_confidence FROM pa""")
 def confidence_errors(spark, sf_dir):
     return E.confidence_errors(predictions(spark, sf_dir))
 
@@ -680,12 +689,15 @@ def pair_separability(spark, sf_dir):
 @query("class_separability", f"""{_A}, {_CENT_ONLY}, {_SIB}, e AS (SELECT y_true, sum(n)::BIGINT AS errors, coalesce(sum(n) FILTER (is_sibling), 0)::BIGINT AS errors_to_siblings FROM sib GROUP BY 1),
  alt AS (SELECT y_true, string_agg(y_pred || ' (' || n || ')', '; ' ORDER BY n DESC, y_pred) AS top_alternatives FROM (SELECT * FROM sib QUALIFY row_number() OVER (PARTITION BY y_true ORDER BY n DESC, y_pred) <= 2) GROUP BY 1),
  nr AS (SELECT a, arg_min(b, (-round(jaccard, 9), b)) AS nb, max(round(jaccard, 9)) AS nj, max(cosine) AS nc FROM cp GROUP BY 1),
- wm AS (SELECT source AS category, avg({S.word_count('text')}) AS mean_words FROM documents GROUP BY 1)
- SELECT category, round(mean_words, 6) AS mean_words, coalesce(errors, 0) AS errors, coalesce(errors_to_siblings, 0) AS errors_to_siblings, coalesce(top_alternatives, '') AS top_alternatives, nb AS nearest_vocab_category,
- round(nj, 6) AS nearest_vocab_jaccard, round(nc, 6) AS nearest_centroid_cosine FROM wm LEFT JOIN e ON e.y_true = category LEFT JOIN alt ON alt.y_true = category LEFT JOIN nr ON nr.a = category""")
+ wm AS (SELECT source AS category, avg({S.word_count('text')}) AS mean_words FROM documents GROUP BY 1),
+ tw AS (SELECT label, string_agg(term, ', ' ORDER BY round(s, 9) DESC, term) AS top_words FROM (SELECT * FROM pa_s QUALIFY row_number() OVER (PARTITION BY label ORDER BY round(s, 9) DESC, term) <= 10) GROUP BY 1)
+ SELECT wm.category, normalized_category AS normalized_group, coalesce(support, 0) AS support, {', '.join(f"round(coalesce(k.{c}, 0.0), 6) + 0.0 AS {c}" for c in ('precision', 'recall', 'f1'))}, coalesce(top_words, '') AS top_words, round(mean_words, 6) AS mean_words, coalesce(errors, 0) AS errors, coalesce(errors_to_siblings, 0) AS errors_to_siblings, coalesce(top_alternatives, '') AS top_alternatives, nb AS nearest_vocab_category,
+ round(nj, 6) AS nearest_vocab_jaccard, round(nc, 6) AS nearest_centroid_cosine FROM wm LEFT JOIN e ON e.y_true = wm.category LEFT JOIN alt ON alt.y_true = wm.category LEFT JOIN nr ON nr.a = wm.category
+ LEFT JOIN ma_classes k ON k.category = wm.category LEFT JOIN m ON m.category = k.category LEFT JOIN tw ON tw.label = wm.category""")
 def class_separability(spark, sf_dir):
     means = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("category")).agg(F.avg(T.word_count("text")).alias("mean_words"))
-    return E.class_separability(bundle(spark, sf_dir)["confusion"], class_pairs(spark, sf_dir), narrow(spark), means)
+    return E.class_separability(bundle(spark, sf_dir)["confusion"], class_pairs(spark, sf_dir), narrow(spark), means,
+                                B.class_terms(*sums(spark, sf_dir)))
 
 
 @query("heatmap_cells", f"{_A}, {_PAIRS}, h AS (SELECT category AS actual, category AS predicted, correct AS n FROM ma_classes UNION ALL SELECT actual_category, predicted_category, error_count FROM pairs) SELECT actual, predicted, n, round(CASE WHEN sum(n) OVER (PARTITION BY actual) = 0 THEN 0.0 ELSE n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY actual) END, 6) AS row_pct FROM h")

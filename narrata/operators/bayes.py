@@ -80,8 +80,10 @@ def class_terms(counts: dict, sums: DataFrame, label: str = "category") -> DataF
 
 
 def literal_array(values, kind: str) -> Column:
-    """An array as one literal of the plan, whatever its length."""
-    return F.from_json(F.lit(json.dumps(list(values), default=str)), f"array<{kind}>")
+    """An array as one literal of the plan, whatever its length; numbers are folded before the plan runs."""
+    if kind == "double":
+        return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
 
 
 def models_from_sums(counts: dict, sums: DataFrame, block: Block | None, candidates: list[tuple[str, float]]) -> BayesModel:
@@ -185,7 +187,8 @@ def _scored(model: BayesModel, weights: DataFrame, docs: DataFrame, id: str, car
 
     def scores(i: int) -> Column:
         parts = F.arrays_zip(F.col("_d.d").alias("d"), literal_array(model.prior[i], "double").alias("p"), literal_array(model.slope[i], "double").alias("g"))
-        return F.transform(parts, lambda x: x["p"] + F.get("_w", F.lit(i)) * x["g"] + F.get("_b", F.lit(i)) + F.get(x["d"], F.lit(i)))
+        own = F.struct(F.get("_w", F.lit(i)).alias("w"), F.get("_b", F.lit(i)).alias("b"))
+        return _once(own, lambda o: F.transform(parts, lambda x: x["p"] + o["w"] * x["g"] + o["b"] + F.get(x["d"], F.lit(i))))
 
     made = [scores(i) for i in range(j)]
     if j == 1:
@@ -208,11 +211,19 @@ def _names(classes: list) -> Column:
     return F.array(*[F.lit(c) for c in classes])
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for the row: a lambda over an array of one binds what it is given."""
+    return F.transform(F.array(value), use)[0]
+
+
 def softmax(scores: Column) -> Column:
-    top = F.array_max(scores)
-    powers = F.transform(scores, lambda s: F.exp(s - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda p: p / total)
+    """Shares in one pass over the scores, however often a lambda asks for their maximum and total."""
+
+    def shares(s: Column) -> Column:
+        powers = _once(F.array_max(s), lambda top: F.transform(s, lambda x: F.exp(x - top)))
+        return _once(powers, lambda p: _once(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(p, lambda x: x / total)))
+
+    return _once(scores, shares)
 
 
 def with_label(df: DataFrame, classes: list) -> DataFrame:

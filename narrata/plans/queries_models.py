@@ -247,7 +247,7 @@ def _votes(spark, sf_dir, group):
     return o, temporal.date_votes(o.filter("split = 'train'"), o.filter("split = 'test'"), "grp", "day", "o_orderkey", "o_orderpriority")
 
 
-@query("date_votes", f"{_OS}, {_knn(chr(39) * 2)} SELECT o_orderkey, o_orderpriority AS y_true, vote AS y_pred FROM o JOIN votes ON qd = day WHERE split = 'test'")
+@query("date_votes", f"{_OS}, {_knn("''")} SELECT o_orderkey, o_orderpriority AS y_true, vote AS y_pred FROM o JOIN votes ON qd = day WHERE split = 'test'")
 def date_votes(spark, sf_dir):
     o, v = _votes(spark, sf_dir, F.lit(""))
     return o.filter("split = 'test'").join(v, ["grp", "day"]).select("o_orderkey", F.col("o_orderpriority").alias("y_true"), F.col("vote").alias("y_pred"))

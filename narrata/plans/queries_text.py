@@ -86,7 +86,7 @@ def _hit_pages(spark, sf_dir):
 _HITS = f"""hits AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS pos,
  CASE WHEN turn > 0 THEN conv_id || '-' || turn ELSE 'h' || conv_id || '-' || turn END AS complaint_id,
  CASE WHEN role = 'user' THEN 'Question' ELSE 'Unspecified' END AS category,
- CASE WHEN length(text) > 40 THEN {S.rx(S.rx('text', chr(94) + '[' + chr(92) + 's]+', ''), '[' + chr(92) + 's]+$', '')} ELSE '' END AS text, role AS issue FROM conversations)"""
+ CASE WHEN length(text) > 40 THEN {S.rx(S.rx('text', S.FIRST_BLANKS, ''), S.LAST_BLANKS, '')} ELSE '' END AS text, role AS issue FROM conversations)"""
 
 
 @query("normalized_hits", f"WITH {_HITS} SELECT complaint_id, category, text, issue FROM hits")

@@ -6,6 +6,12 @@ from narrata.functions.text import KEPT_NEGATIONS, STOPWORDS
 from narrata.sources.taxonomy import read_config
 
 
+# Patterns shared with the text functions, as SQL writes them (a quote is doubled).
+NEGATED = r"n''t\b"
+BLANK_RUN = r"\s+"
+FIRST_BLANKS, LAST_BLANKS = r"^[\s]+", r"[\s]+$"
+
+
 def text_list(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values)) + ")"
 
@@ -22,16 +28,16 @@ def blanks(t: str) -> str:
 def cleaned(t: str, mask: str = " ", negation: bool = False, symbols: dict | None = None) -> str:
     t = rx(rx(f"lower({blanks(t)})", r"https?://\S+|www\.\S+"), r"\S+@\S+")
     if negation:
-        t = f"replace({rx(t, chr(110) + chr(39) * 2 + 't' + chr(92) + 'b', ' not')}, 'cannot', 'can not')"
+        t = f"replace({rx(t, NEGATED, ' not')}, 'cannot', 'can not')"
     for symbol, word in (symbols or {}).items():
         t = f"replace({t}, '{symbol}', ' {word} ')"
     t = rx(t, r"[^a-zA-Z0-9\s]")
     t = rx(t, r"\bx{2,}\b", mask)
-    return f"trim({rx(t, chr(92) + 's+')})"
+    return f"trim({rx(t, BLANK_RUN)})"
 
 
 def minimal(t: str) -> str:
-    return f"trim({rx(f'lower({blanks(t)})', chr(92) + 's+')})"
+    return f"trim({rx(f'lower({blanks(t)})', BLANK_RUN)})"
 
 
 def words(c: str) -> str:

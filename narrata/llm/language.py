@@ -23,6 +23,7 @@ from narrata.llm import bigru
 from narrata.llm.common import pieces, tidy, utf8
 
 SAMPLE_DOCS, WINDOWS, SPAN, FOLDS, TEXT_BYTES, LANES = 600, 3, 128, 5, 1 << 20, 512
+CUT_BITS = 16  # slots of the hash that are counted before rows of the sample move
 UNKNOWN = "und"
 
 
@@ -34,11 +35,12 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     """(languages, model) from the rows that are not held out; the model is None without such rows."""
     rows = docs.select(F.col(f"`{id}`").alias("i"), F.col(f"`{text}`").alias("t"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter(~held_out(F.col("i")) & F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}"))
+    rows = rows.withColumn("h", F.xxhash64(F.col("i"), F.lit("sample")))
     size = F.length("t")
     cut = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda k: F.substring("t", F.when(size > SPAN, (size - SPAN) * k / (WINDOWS - 1)).otherwise(0).cast("int") + 1, F.lit(SPAN)))
-    short = rows.select("lang", F.xxhash64(F.col("i"), F.lit("sample")).alias("h"), F.array_distinct(cut).alias("w"))
+    short = rows.select("lang", "h", F.array_distinct(cut).alias("w"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "w"))
-    chosen = short.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).select("lang", "w").collect()
+    chosen = below_cut(rows, short).withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).select("lang", "w").collect()
     found = sorted((r["lang"], w) for r in chosen for w in r["w"])
     languages = sorted({lang for lang, _ in found})
     if not languages:
@@ -51,6 +53,21 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     return languages, bigru.train(windows, lengths, labels, len(languages))
 
 
+def below_cut(rows: DataFrame, short: DataFrame) -> DataFrame:
+    """The rows of ``short`` that can be among the first ``SAMPLE_DOCS`` of their language by hash ``h``.
+
+    Rows are counted by language and the first ``CUT_BITS`` bits of their hash; all slots up to the one that completes the
+    sample stay. So a language sends to its task the sample and one slot, whatever the number of rows or map tasks. Rows of
+    one hash (repeated ids) share their slot.
+    """
+    slot = F.shiftright("h", 64 - CUT_BITS)
+    counts = rows.groupBy("lang", slot.alias("slot")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1))
+    open_slots = counts.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < SAMPLE_DOCS)
+    last = open_slots.groupBy("lang").agg(F.max("slot").alias("last"))  # one row a language
+    return short.join(last, "lang").filter(slot <= F.col("last")).select(*short.columns)
+
+
 def pooled(model: dict, data: np.ndarray, offsets: np.ndarray, languages: int) -> np.ndarray:
     """Mean probabilities over the positions of each text: (text, language); zeros for an empty text."""
     sizes = np.diff(offsets)

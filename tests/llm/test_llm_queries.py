@@ -370,6 +370,21 @@ def test_language(spark, odd):
     assert language.accepted(odd, languages, model).columns == odd.columns
 
 
+def test_language_sample(spark, monkeypatch):
+    """The slots kept before the window hold the first rows by hash of every language, and few others."""
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 50)
+    rows = spark.range(0, 20000, 1, 16).select(F.when(F.col("id") % 3 == 0, "aa").when(F.col("id") % 1000 == 1, "bb").otherwise("cc").alias("lang"), F.xxhash64(F.col("id"), F.lit("sample")).alias("h"))
+    rows = rows.unionByName(rows.filter("lang = 'bb'"))
+    kept = {}
+    for r in language.below_cut(rows, rows).collect():
+        kept.setdefault(r.lang, []).append(r.h)
+    every = {}
+    for r in rows.collect():
+        every.setdefault(r.lang, []).append(r.h)
+    assert {k: sorted(v)[:50] for k, v in kept.items()} == {k: sorted(v)[:50] for k, v in every.items()}
+    assert all(len(v) < 60 for v in kept.values()) and len(kept) == 3
+
+
 def test_language_gradients():
     import numpy as np
 

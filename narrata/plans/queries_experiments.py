@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from narrata.functions.dates import quarter
 from narrata.operators import bayes, linear
 from narrata.operators import tfidf as V
+from narrata.operators.splits import mark_split
 from narrata.plans import experiments as X
 from narrata.plans import sql as S
 from narrata.plans.queries_features import processed
 from narrata.plans.queries_models import ALPHA, labelled, model, narrow
 from narrata.plans.queries_text import _HITS, _hit_pages
 from narrata.plans.registry import query, shared, table
-from narrata.plans.search import ALPHAS, Classifier, Search, search_report
+from narrata.plans.search import ALPHAS, Classifier, Search, compare_blocks, search_report
+from narrata.plans.search import experiment_matrix as cleaning_by_labels
 from narrata.session import owned_path, stage
 from narrata.sources import csv_scan
 from narrata.streaming import ingest
@@ -21,10 +24,10 @@ RETIRED = ["src0", "src3", "src5", "src7"]
 
 
 def dated(spark, sf_dir):
-    """Documents with the order date of the same number as their received date."""
+    """All documents with the order date of the same number as their received date; those without such an order get a day by their id."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("date"))
     return shared(spark, sf_dir, "dated", lambda: stage(
-        processed(spark, sf_dir).join(o, "doc_id").select("doc_id", F.col("source").alias("label"), "date", "text")))
+        processed(spark, sf_dir).join(o, "doc_id", "left").select("doc_id", F.col("source").alias("label"), F.coalesce("date", F.expr("date_add(DATE '1992-01-01', CAST(doc_id % 2400 AS INT))")).alias("date"), "text")))
 
 
 def _run_ctes(n: str, rows: str, random: bool, newest_first: bool = False) -> str:
@@ -49,7 +52,7 @@ def _run_row(n: str, name: str) -> str:
 
 _RUNS = {"ra": ("A random", "dated", True, False), "rb": ("B chronological", "dated", False, False), "rc": ("C reverse chronological", "dated", False, True),
          "rd": ("D random, modern labels", "modern", True, False), "re": ("E chronological, modern labels", "modern", False, False)}
-_DATED = (f"WITH m AS ({S.mapping('sources_narrow')}), dated AS (SELECT doc_id, source AS label, CAST(o_orderdate AS DATE) AS date, {S.processed('text')} AS c FROM documents JOIN orders ON o_orderkey = doc_id), "
+_DATED = (f"WITH m AS ({S.mapping('sources_narrow')}), dated AS (SELECT doc_id, source AS label, coalesce(CAST(o_orderdate AS DATE), DATE '1992-01-01' + CAST(doc_id % 2400 AS INTEGER)) AS date, {S.processed('text')} AS c FROM documents LEFT JOIN orders ON o_orderkey = doc_id), "
           f"modern AS (SELECT * FROM dated WHERE label NOT IN {S.text_list(RETIRED)})")
 
 
@@ -164,6 +167,58 @@ def search_range(spark, sf_dir):
     return search_report(searched(spark, sf_dir))["range"]
 
 
+# ---- cleaning modes x label sets, and metadata beside text ----
+
+
+_CELLS = [(mode, text, name, target) for mode, text in (("standard", "sc"), ("minimal", "mc")) for name, target in (("all labels", "label"), ("groups", "grp"))]
+_MATRIX = (f"WITH m AS ({S.mapping('sources_narrow')}), docs AS (SELECT doc_id, source AS label, coalesce(normalized_category, source) AS grp, {S.processed('text')} AS sc, {S.minimal('text')} AS mc "
+           f"FROM documents LEFT JOIN m ON category = source), parts AS ({S.split('docs', 'doc_id', 'label', 0.2, 42, 'val', 'train')}), " + ", ".join(
+               f"x{i}_pool AS (SELECT doc_id, docs.{target} AS label, {text} AS c FROM docs JOIN parts USING (doc_id) WHERE split = 'train'), "
+               f"x{i}_held AS (SELECT doc_id, docs.{target} AS label, {text} AS c FROM docs JOIN parts USING (doc_id) WHERE split = 'val'), "
+               f"{S.bayes(f'x{i}', f'x{i}_pool', f'x{i}_held', 'complement', 0.3)}, {S.metrics_of(f'x{i}', f'x{i}m')}" for i, (_, text, _, target) in enumerate(_CELLS)))
+
+
+@query("experiment_matrix", _MATRIX + " " + " UNION ALL ".join(f"SELECT '{mode}' AS cleaning, '{name}' AS labels, {S.rounded(S.METRICS)} FROM x{i}m_sum" for i, (mode, _, name, _) in enumerate(_CELLS)))
+def experiment_matrix(spark, sf_dir):
+    rows = mark_split(table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("label"), "text"), "doc_id", "label", 0.2, 42, test="val")
+    made = cleaning_by_labels(rows, narrow(spark), V.FeatureSpec(word=V.WORD_UNIGRAMS), Classifier("complement", alpha=0.3))
+    return made.select("cleaning", "labels", *S.METRICS)
+
+
+_RECORD = {"quarter": "year(o_orderdate) || 'Q' || quarter(o_orderdate)", "status": "o_orderstatus", "priority": "o_orderpriority"}
+_CUES = ", ".join(f"'{k}=' || coalesce({e}, 'NA')" for k, e in _RECORD.items())
+_FEATURE_RUNS = {"text": ("word",), "metadata": ("meta",), "text + metadata": ("word", "meta")}
+
+
+def _blocks(side: str, members: tuple[str, ...], keys: str) -> str:
+    return " UNION ALL ".join(f"SELECT {keys}, '{b}:' || term AS term, w FROM {b}_{side}" for b in members)
+
+
+_AUGMENTED = (f"WITH {S.corpus()}, tf AS ({S.term_counts('pool', 'word', 1, 1, 'doc_id, label')}), v AS ({S.vocabulary('tf', 'pool', 2, 0.95)}), word_w AS ({S.weights('tf', 'v', keys='doc_id, label')}), "
+              f"htf AS ({S.term_counts('held', 'word', 1, 1)}), word_hw AS ({S.weights('htf', 'v')}), cues AS (SELECT doc_id, label, split, unnest([{_CUES}]) AS term, 1.0::DOUBLE AS w FROM parts LEFT JOIN orders ON o_orderkey = doc_id), "
+              "meta_w AS (SELECT * FROM cues WHERE split = 'pool'), meta_hw AS (SELECT * FROM cues WHERE split = 'test' AND term IN (SELECT term FROM meta_w)), " + ", ".join(
+                  f"f{i}_w AS ({_blocks('w', members, 'doc_id, label')}), f{i}_hw AS ({_blocks('hw', members, 'doc_id')}), f{i}_v AS (SELECT DISTINCT term FROM f{i}_w), "
+                  f"{S.bayes_of_weights(f'f{i}', 'pool', 'held', 'complement', 0.3)}, {S.metrics_of(f'f{i}', f'f{i}m')}" for i, members in enumerate(_FEATURE_RUNS.values())))
+
+
+@query("augmented_features_metrics", _AUGMENTED + " " + " UNION ALL ".join(f"SELECT '{name}' AS features, {S.rounded(S.METRICS)} FROM f{i}m_sum" for i, name in enumerate(_FEATURE_RUNS)))
+def augmented_features_metrics(spark, sf_dir):
+    """Text, metadata, and both in one model. The record of a document is the order of its number; levels are learnt on the pool."""
+    d = labelled(spark, sf_dir)
+    sides = [d.filter(F.col("split") == s) for s in ("pool", "test")]
+    voc = V.fit_vocabulary(sides[0], V.WORD_UNIGRAMS)
+    word = [stage(V.transform(side, voc, V.WORD_UNIGRAMS, carry=("label",))) for side in sides]
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate", "o_orderstatus", "o_orderpriority")
+    cues = {"quarter": quarter(F.col("o_orderdate")), "status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")}
+    meta, levels = [], None
+    for side in sides:
+        ids = side.select("doc_id", "label")
+        hot, levels = V.one_hot(ids.join(o, "doc_id", "left"), levels, "doc_id", cues)
+        meta.append(stage(hot.join(ids, "doc_id")))
+    made = compare_blocks({"word": word, "meta": meta}, sides, _FEATURE_RUNS, Classifier("complement", alpha=0.3))
+    return made.select("features", *S.METRICS)
+
+
 # ---- linear models: iterative solvers, no SQL twin ----
 
 

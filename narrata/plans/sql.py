@@ -155,21 +155,27 @@ def bayes(name: str, pool: str = "pool", held: str = "held", kind: str = "multin
           vocab_from: str | None = None, analyzer: str = "word", low: int = 1, high: int = 1, min_df: int = 2) -> str:
     """CTEs ``{name}_...`` ending in ``{name}`` (doc_id, y_true, y_pred, conf) and ``{name}_scores``."""
     n = name
-    theta = ("ln((coalesce(s, 0.0) + {a}) / (st + {a} * v))" if kind == "multinomial"
-             else "-ln((tt - coalesce(s, 0.0) + {a}) / (gt - st + {a} * v))").format(a=alpha)
-    prior = f"ln(m * 1.0 / (SELECT count(*) FROM {pool}))" if kind == "multinomial" else "0.0"
     return f"""
 {n}_tf AS ({term_counts(pool, analyzer, low, high, 'doc_id, label')}),
 {n}_v AS ({vocabulary(n + '_tf', pool, min_df, 0.95)}),
 {n}_w AS ({weights(n + '_tf', n + '_v', keys='doc_id, label')}),
+{n}_htf AS ({term_counts(held, analyzer, low, high)}),
+{n}_hw AS ({weights(n + '_htf', n + '_v')}),{bayes_of_weights(n, pool, held, kind, alpha)}"""
+
+
+def bayes_of_weights(name: str, pool: str, held: str, kind: str = "multinomial", alpha: float = 0.1) -> str:
+    """As ``bayes``, from CTEs of weights: {name}_v (term), {name}_w (doc_id, label, term, w) and {name}_hw (doc_id, term, w)."""
+    n = name
+    theta = ("ln((coalesce(s, 0.0) + {a}) / (st + {a} * v))" if kind == "multinomial"
+             else "-ln((tt - coalesce(s, 0.0) + {a}) / (gt - st + {a} * v))").format(a=alpha)
+    prior = f"ln(m * 1.0 / (SELECT count(*) FROM {pool}))" if kind == "multinomial" else "0.0"
+    return f"""
 {n}_s AS (SELECT label, term, sum(w) AS s FROM {n}_w GROUP BY ALL),
 {n}_c AS (SELECT label, m, coalesce(st, 0.0) AS st, v, gt FROM (SELECT label, count(*) AS m FROM {pool} GROUP BY 1)
   LEFT JOIN (SELECT label, sum(s) AS st FROM {n}_s GROUP BY 1) USING (label),
   (SELECT count(*) AS v FROM {n}_v), (SELECT sum(s) AS gt FROM {n}_s)),
 {n}_t AS (SELECT c.label, x.term, {theta} AS theta FROM {n}_c c CROSS JOIN (SELECT term, sum(s) AS tt FROM {n}_s GROUP BY 1) x
   LEFT JOIN {n}_s s ON s.label = c.label AND s.term = x.term),
-{n}_htf AS ({term_counts(held, analyzer, low, high)}),
-{n}_hw AS ({weights(n + '_htf', n + '_v')}),
 {n}_dot AS (SELECT doc_id, label, sum(w * theta) AS d FROM {n}_hw JOIN {n}_t USING (term) GROUP BY ALL),
 {n}_scores AS (SELECT h.doc_id, h.label AS y_true, c.label, coalesce(d, 0.0) + {prior} AS score
   FROM {held} h CROSS JOIN {n}_c c LEFT JOIN {n}_dot x ON x.doc_id = h.doc_id AND x.label = c.label),

@@ -8,12 +8,13 @@ from narrata.functions import dates as D
 from narrata.functions import text as T
 from narrata.operators import profiling as P
 from narrata.operators import temporal
+from narrata.operators.errors import as_percent, pick_rows
 from narrata.operators.ranking import first_per_key
 from narrata.plans import sql as S
 from narrata.plans.registry import query, table
 from narrata.sources import pages as PG
 from narrata.sources import tables as TB
-from narrata.sources.taxonomy import CONFIG, load_taxonomy
+from narrata.sources.taxonomy import CONFIG, load_taxonomy, read_entries, taxonomy_entries
 
 
 def _as_export(spark, sf_dir):
@@ -110,6 +111,29 @@ def taxonomy_table(spark, sf_dir):
     return groups.join(table(spark, sf_dir, "documents"), F.col("category") == F.col("source"), "left_semi")
 
 
+_ENTRIES = ", ".join(f"({', '.join(S.literal(x) for x in (k, v['normalized_category'], v['evidence_type'], v.get('cfpb_source'), v.get('evidence_description')))})"
+                     for k, v in sorted(read_entries("sources_narrow").items()))
+
+
+@query("taxonomy_rationale", f"""SELECT category, normalized_category, evidence_type, m.source, rationale, count(doc_id) AS rows FROM (VALUES {_ENTRIES}) AS m(category, normalized_category, evidence_type, source, rationale)
+ LEFT JOIN documents d ON d.source = category GROUP BY ALL""")
+def taxonomy_rationale(spark, sf_dir):
+    """Why each label maps to its group, with the number of its records."""
+    n = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("category")).agg(F.count("doc_id").alias("rows"))
+    entries = taxonomy_entries(spark, f"{CONFIG}/sources_narrow.json")
+    return entries.join(n, "category", "left").select(*entries.columns, F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+@query("picked_percentages", """SELECT category, CASE WHEN pct <= 1 THEN pct * 100.0 ELSE pct END::DOUBLE AS percent FROM
+ (SELECT source AS category, count(*) * 100 // (SELECT count(*) FROM documents) AS pct FROM documents GROUP BY 1) WHERE category LIKE '%rc1%'""")
+def picked_percentages(spark, sf_dir):
+    """Shares of the classes as a report prints them, read back as numbers, for the rows that a text picks."""
+    d = table(spark, sf_dir, "documents")
+    n = d.groupBy(F.col("source").alias("category")).agg(F.count("*").alias("n"))
+    shown = n.select("category", F.concat(F.floor(F.col("n") * 100 / d.agg(F.count("*")).scalar()).cast("string"), F.lit("%")).alias("share"))
+    return pick_rows(shown, {"category": "RC1"}).select("category", as_percent(F.col("share")).alias("percent"))
+
+
 @query("open_grid_cells", "SELECT lang, source FROM (SELECT DISTINCT lang, source FROM documents) WHERE (lang, source) NOT IN "
        "(SELECT (lang, source) FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)")
 def open_grid_cells(spark, sf_dir):

@@ -16,6 +16,10 @@ def text_list(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values)) + ")"
 
 
+def literal(value: str | None) -> str:
+    return "NULL::VARCHAR" if value is None else "'" + value.replace("'", "''") + "'"
+
+
 def rx(t: str, pattern: str, to: str = " ") -> str:
     return f"regexp_replace({t}, '{pattern}', '{to}', 'g')"
 

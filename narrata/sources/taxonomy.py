@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 CONFIG = Path(__file__).resolve().parents[2] / "config"
 
-ENTRY = "struct<normalized_category: string, evidence_type: string>"
+ENTRY = "struct<normalized_category: string, evidence_type: string, evidence_description: string, cfpb_source: string>"
 SCHEMA = f"taxonomy_id string, mapping map<string, {ENTRY}>"
 
 # Product labels and their conservative groups (11 groups from 18 labels).
@@ -38,18 +38,28 @@ CONSERVATIVE = {
 BROAD = {**CONSERVATIVE, "Consumer Loan": "Consumer & Small Dollar Loans"}
 
 
-def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """``(category, normalized_category, evidence_type)`` from a taxonomy JSON document."""
+def taxonomy_entries(spark: SparkSession, path: str) -> DataFrame:
+    """``(category, normalized_category, evidence_type, source, rationale)`` from a taxonomy JSON document; absent ones are null."""
     doc = spark.read.schema(SCHEMA).option("multiLine", True).json(path)
     return doc.select(F.explode("mapping").alias("category", "entry")).select(
-        "category", "entry.normalized_category", "entry.evidence_type")
+        "category", "entry.normalized_category", "entry.evidence_type", F.col("entry.cfpb_source").alias("source"),
+        F.col("entry.evidence_description").alias("rationale"))
+
+
+def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """``(category, normalized_category, evidence_type)`` from a taxonomy JSON document."""
+    return taxonomy_entries(spark, path).select("category", "normalized_category", "evidence_type")
 
 
 def mapping_table(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(sorted(mapping.items()), "category string, normalized_category string")
 
 
+def read_entries(name: str) -> dict[str, dict[str, str]]:
+    """Label -> entry of a packaged taxonomy."""
+    return json.loads((CONFIG / f"{name}.json").read_text(encoding="utf-8"))["mapping"]
+
+
 def read_config(name: str) -> dict[str, str]:
     """Label -> group of a packaged taxonomy."""
-    doc = json.loads((CONFIG / f"{name}.json").read_text(encoding="utf-8"))
-    return {k: v["normalized_category"] for k, v in doc["mapping"].items()}
+    return {k: v["normalized_category"] for k, v in read_entries(name).items()}

@@ -357,6 +357,43 @@ def test_svc_and_hierarchy(spark):
     assert set(models["special"]) == {"money"} and models["single"] == {"home": "home"}
     out = LN.predict_hierarchy(models, x, "doc_id", ("label",))
     assert out.count() == len(TEXTS) and out.filter("label = y_pred").count() == len(TEXTS)
+    alone = LN.predict_hierarchy(models, x.filter("label = 'home'"), "doc_id", ("label",))
+    assert {r["y_pred"] for r in alone.collect()} == {"home"}  # no row reaches the specialist
+
+
+def test_vector_size_is_checked(spark):
+    d, spec, voc, index, x = linear_data(spark)
+    other = LN.assemble(V.transform_features(d, voc, spec), index.filter("idx < 3"), d, "doc_id", ("label",))
+    for m in (LN.fit_logistic(x, "label", max_iter=5), LN.fit_svc(x, "label", max_iter=5)):
+        with pytest.raises(ValueError, match="features"):
+            LN.predict(m, other)
+        with pytest.raises(ValueError, match="empty"):
+            LN.predict(m, x.limit(0))
+
+
+def test_svc_with_text_statistics_as_artifact(spark, tmp_path):
+    d = docs(spark, TEXTS, LABELS).withColumn("raw", F.col("text"))
+    spec = V.FeatureSpec(word=V.Block("word", (1, 1)), text_stats=True)
+    voc = V.fit_features(d, spec)
+    index = LN.feature_index(voc, [("text_stats", t) for t in ("log_length", "log_masks", "has_mask")])
+    x = LN.assemble(V.transform_features(d, voc, spec, raw="raw"), index, d, "doc_id", ("label",))
+    m = LN.fit_svc(x, "label", max_iter=10)
+    path = str(tmp_path / "svc")
+    A.save_model(m, voc, path, index, spec)
+    back, _ = A.load_model(spark, path)
+    want = {r["doc_id"]: r["y_pred"] for r in LN.predict(m, x).collect()}
+    assert {r["doc_id"]: r["y_pred"] for r in LN.predict(back, x).collect()} == want
+    words = voc["word"].count()
+    assert index.count() == words + 3 and A.validate_artifacts(spark, path, ("word",), words, 3)["is_valid"]
+    assert not A.validate_artifacts(spark, path, ("word",), words, 4)["is_valid"]
+
+
+def test_experiment_matrix_of_a_linear_model(spark):
+    d = docs(spark, TEXTS, LABELS)
+    rows = d.withColumn("split", F.lit("train")).unionByName(d.withColumns({"doc_id": F.col("doc_id") + 1000, "split": F.lit("val")}))
+    mapping = mapping_table(spark, {"card": "money", "debt": "money", "home": "home"})
+    made = search.experiment_matrix(rows, mapping, V.FeatureSpec(word=V.Block("word")), search.Classifier("logistic", C=2.0, max_iter=30), modes=("standard",))
+    assert {(r["cleaning"], r["labels"]): r["accuracy"] for r in made.collect()} == {("standard", "all labels"): 1.0, ("standard", "groups"): 1.0}
 
 
 def test_search_resumes_and_final_runs_once(spark, tmp_path):

@@ -108,6 +108,8 @@ def test_taxonomy_values(spark):
     assert len(set(TX.CONSERVATIVE.values())) == 11 and len(set(TX.BROAD.values())) == 10
     loaded = TX.load_taxonomy(spark, f"{TX.CONFIG}/sources_narrow.json")
     assert {r["category"]: r["normalized_category"] for r in loaded.collect()} == TX.read_config("sources_narrow")
+    told = {r["category"]: r for r in TX.taxonomy_entries(spark, f"{TX.CONFIG}/sources_narrow.json").collect()}
+    assert told["src0"].source == "release notes" and told["src0"].rationale.startswith("src0") and told["src19"].rationale is None
 
 
 def test_sinks(spark, tmp_path):

@@ -260,6 +260,31 @@ def test_search_against_brute_force(spark, budgets):
     assert {(r["qid"], r["doc_id"], r["rank"], round(r["score"], 9)) for r in found.collect()} == want
 
 
+def test_search_moves_vectors_not_pairs(spark):
+    rng = np.random.default_rng(8)
+    # every record shares a term with every query, so that all pairs would have to meet
+    texts = [" ".join(["all", "both", *rng.choice([f"w{i}" for i in range(40)], 5)]) for _ in range(300)]
+    block = V.Block("word", (1, 1))
+    v, w = V.fit_transform(docs(spark, texts), block)
+    written = []
+    kept, SIM.stage = SIM.stage, lambda df: written.append(kept(df)) or written[-1]
+    try:
+        SIM.search(w.withColumnRenamed("doc_id", "qid"), w, 2, "qid", "doc_id").count()
+    finally:
+        SIM.stage = kept
+    assert max(x.count() for x in written) <= 2 * 2 * len(texts)
+
+
+def test_block_product_against_dense():
+    rng = np.random.default_rng(2)
+    a, b = (np.where(rng.random((n, 90)) < 0.2, rng.random((n, 90)), 0.0) for n in (70, 50))
+    b[:, 0] = 1.0  # a term of all records
+    cells = lambda m: ([np.flatnonzero(r) * 7 for r in m], [r[r > 0] for r in m])
+    i, j, s = SIM.block_product(*cells(a), *cells(b), 4)
+    want = [(q, d) for q in range(70) for d in np.lexsort((np.arange(50), -np.round(a[q] @ b.T, 9)))[:4] if a[q] @ b[d] > 0]
+    assert list(zip(i.tolist(), j.tolist())) == want and np.allclose(s, [a[q] @ b[d] for q, d in want])
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(11)
     words = [f"w{i}" for i in range(80)]

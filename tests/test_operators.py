@@ -157,6 +157,29 @@ def test_weights_against_formula(spark, analyzer):
         assert got[k] == pytest.approx(want[k], abs=1e-12)
 
 
+def test_char_grams_are_counted_in_batches(spark):
+    texts = ["ab ab\x00", "", "a", "\U0001f600b\U0001f600b\U0001f600", "abab", "".join(chr(0x4e00 + i) for i in range(9000)) + "ab"]
+    assert list(V.chunks(["aaa", "b", "cccccc", "", "d"], 4)) == [(0, 2), (2, 3), (3, 5)]
+    for part in (texts[:5], texts):  # the whole alphabet is too large to pack
+        for n in (1, 3, 5):
+            rows, grams, tf, names = V.char_gram_counts(part, n)
+            want = {(i, t[j:j + n]): 0 for i, t in enumerate(part) for j in range(len(t) - n + 1)}
+            for i, t in enumerate(part):
+                for j in range(len(t) - n + 1):
+                    want[i, t[j:j + n]] += 1
+            assert {(i, names[g]): c for i, g, c in zip(rows.tolist(), grams.tolist(), tf.tolist())} == want
+    block = V.Block("char", (3, 5))
+    d = docs(spark, texts[:5])
+    plan = V.term_counts(d, block)._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan  # no gram passes through an interpreted lambda
+    plan = V.transform(d, V.fit_vocabulary(d, block), block)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1  # the texts; their terms stay with them
+    twice = d.unionByName(d)
+    got = {(r["doc_id"], r["term"]): r["tf"] for r in V.term_counts(twice, block).collect()}
+    assert got == {(r["doc_id"], r["term"]): 2 * r["tf"] for r in V.term_counts(d, block).collect()}
+    assert {(r["term"], r["df"], r["cf"]) for r in V.fit_vocabulary(twice, block).collect()} == {(r["term"], r["df"], 2 * r["cf"]) for r in V.fit_vocabulary(d, block).collect()}
+
+
 def test_blocks_are_normalised_apart(spark):
     d = docs(spark, ["late fee on my card", "late fee dispute"])
     spec = V.FeatureSpec(word=V.Block("word"), char=V.Block("char", (3, 5)))

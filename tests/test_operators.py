@@ -409,6 +409,17 @@ def test_svc_and_hierarchy(spark):
     assert {r["y_pred"] for r in alone.collect()} == {"home"}  # no row reaches the specialist
 
 
+def test_two_class_models_in_a_session_with_a_job_tag(spark):
+    d, spec, voc, index, x = linear_data(spark)
+    two = x.filter("label <> 'home'")
+    session = spark.newSession()  # its tags come with an object that cannot be serialised
+    session.addTag("seen")
+    rows = session.createDataFrame(two.collect(), two.schema)
+    for m in (LN.fit_logistic(rows, "label", max_iter=5), LN.fit_svc(rows, "label", max_iter=5)):
+        assert LN.predict(m, rows).filter("label = y_pred").count() == rows.count()
+        assert LN.converged(m) in (True, False)
+
+
 def test_vector_size_is_checked(spark):
     d, spec, voc, index, x = linear_data(spark)
     other = LN.assemble(V.transform_features(d, voc, spec), index.filter("idx < 3"), d, "doc_id", ("label",))

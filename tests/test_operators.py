@@ -645,3 +645,26 @@ def test_bayes_candidates_in_one_pass(spark):
     for j, (kind, alpha) in enumerate(grid):
         for r in B.predict(B.model_from_sums(counts, sums, V.Block("word"), kind, alpha), new).collect():
             assert together[r["doc_id"], j] == pytest.approx(r["scores"])
+
+
+def test_common_terms_of_a_bayes_model_are_not_shuffled(spark, monkeypatch, capsys):
+    new = docs(spark, ["card charge escrow", "escrow", "zzz", None])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for norm in ("l2", "l1", None):
+            counts, sums = B.fit_sums(docs(spark, TEXTS, LABELS), V.Block("word", norm=norm), "label")
+            seen = []
+            for values in (0, 60, 1_000_000):  # no, some, and all terms are common
+                monkeypatch.setattr(B, "COMMON_VALUES", values)
+                m = B.model_from_sums(counts, sums, V.Block("word", norm=norm), "complement", 0.3)
+                p = B.predict(m, new)
+                seen.append({r["doc_id"]: r["scores"] for r in p.collect()})
+                plain = V.transform(new, m.table, m.block).select("doc_id", "block", "term", "w")
+                m.table = m.table.withColumn("term", F.concat(F.lit("word:"), "term"))
+                seen.append({r["doc_id"]: r["scores"] for r in B.predict_weights(m, plain, new).collect()})
+            assert all(x == {i: pytest.approx(s) for i, s in seen[0].items()} for x in seen[1:]) and len(seen[0]) == 4
+        p.explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -261,6 +261,30 @@ def test_near_pairs_against_brute_force(spark, threshold):
     assert got == want and sum(got.values()) > 60
 
 
+@pytest.mark.parametrize("part", [2, 1024])
+def test_pairs_are_sifted_and_multiplied_by_neighbourhoods(spark, monkeypatch, part):
+    monkeypatch.setattr(SIM, "PART", part)  # 2: neighbourhoods are cut on both sides
+    rng = np.random.default_rng(11)
+    rows, vecs = [], {}
+    for i in range(40):  # ids 0 to 29 resemble each other, the others nothing
+        terms = np.arange(50) if i < 30 else 1000 * i + np.arange(50)
+        w = rng.uniform(0.8, 1.2, 50)
+        w /= np.sqrt(w @ w)
+        vecs[i] = dict(zip(terms.tolist(), w.tolist()))
+        rows += [(i, f"t{t}", float(x)) for t, x in vecs[i].items()]
+    vectors = spark.createDataFrame(rows, "doc_id bigint, term string, w double")
+    terms = vectors.select("term").distinct().select("term", F.substring("term", 2, 9).cast("bigint").alias("term_id"), F.lit(2).cast("bigint").alias("df"))
+    packed = SIM.packed_vectors(vectors, terms, "doc_id")
+    pairs = spark.createDataFrame([(i, j) for i in range(40) for j in range(i + 1, 40)], "a bigint, b bigint")
+    dot = lambda i, j: sum(x * vecs[j].get(t, 0.0) for t, x in vecs[i].items())
+    left = SIM.within_bits(pairs, packed, 0.81, "doc_id")
+    assert left.count() == 30 * 29 // 2  # none that reaches 0.9 is lost, none of the others is moved with a vector
+    got = {(r["a"], r["b"]): r["score"] for r in SIM.dot_products(left, packed, "doc_id").collect()}
+    assert got == {(i, j): pytest.approx(dot(i, j)) for i in range(30) for j in range(i + 1, 30)}
+    whole = {(r["a"], r["b"]) for r in SIM.near_pairs(vectors, terms, 0.98, "doc_id").collect()}
+    assert whole == {k for k in got if dot(*k) >= 0.98 - 1e-9} and whole
+
+
 @pytest.mark.parametrize("budgets", [(3, 40), ()])
 def test_search_against_brute_force(spark, budgets):
     rng = np.random.default_rng(5)

@@ -433,6 +433,37 @@ def test_svc_and_hierarchy(spark):
     assert {r["y_pred"] for r in alone.collect()} == {"home"}  # no row reaches the specialist
 
 
+def test_logistic_reaches_the_least_loss_in_small_blocks(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from narrata.operators import multinomial as M
+
+    monkeypatch.setattr(M, "BLOCK_CELLS", 40)
+    monkeypatch.setattr(M, "RANGE", 4)
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((60, 11)) < 0.4, rng.random((60, 11)), 0.0)
+    x[3] = 0.0  # a row without terms
+    x[:, 7] = 0.0  # a feature without rows
+    y = np.where(x[:, 0] + 0.3 * rng.random(60) > 0.4, "a", np.where(x[:, 1] > 0.3, "b", "c"))
+    made = [(i, str(c), Vectors.dense(v) if i == 9 else Vectors.sparse(11, [(int(j), float(v[j])) for j in np.flatnonzero(v)]))
+            for i, (c, v) in enumerate(zip(y, x, strict=True))]
+    rows = spark.createDataFrame(made, ["doc_id", "label", "features"]).repartition(3)
+    model = LN.fit_logistic(rows, "label", C=2.0, power=1.0, tol=1e-10)
+    assert LN.converged(model) and not LN.converged(LN.fit_logistic(rows, "label", max_iter=1))
+    head = model.stages[-1]
+    w, b = head.coefficientMatrix.toArray(), head.interceptVector.toArray()
+    classes = sorted(set(y))
+    each = np.array([60 / (3 * (y == c).sum()) for c in y])
+    m = x @ w.T + b
+    p = np.exp(m - m.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    slip = (p - (y[:, None] == np.array(classes)[None, :])) * each[:, None] / each.sum()
+    assert np.abs(slip.T @ x + w / (2.0 * each.sum())).max() < 1e-4 and np.abs(slip.sum(0)).max() < 1e-4
+    assert head.getRegParam() == pytest.approx(1 / (2.0 * each.sum())) and b.sum() == pytest.approx(0, abs=1e-9)
+    got = {r["doc_id"]: r["p"] for r in LN.predict(model, rows).collect()}
+    assert all(got[i] == pytest.approx(list(p[i])) for i in range(60))
+
+
 def test_two_class_models_in_a_session_with_a_job_tag(spark):
     d, spec, voc, index, x = linear_data(spark)
     two = x.filter("label <> 'home'")

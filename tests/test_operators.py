@@ -180,6 +180,50 @@ def test_char_grams_are_counted_in_batches(spark):
     assert {(r["term"], r["df"], r["cf"]) for r in V.fit_vocabulary(twice, block).collect()} == {(r["term"], r["df"], 2 * r["cf"]) for r in V.fit_vocabulary(d, block).collect()}
 
 
+@pytest.mark.parametrize("analyzer", ["word", "char_wb"])
+def test_terms_of_parts_meet_the_vocabulary(spark, monkeypatch, analyzer):
+    """The cells of a part are weighed where they are, by a vocabulary that is sent or one that is joined with the terms of each part."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice(["card", "fee", "late", "\u00fcber", "x", "loan"], int(rng.integers(0, 9)))) for _ in range(60)]
+    d = spark.createDataFrame([(i % 50 if i % 50 else None, t, f"l{i % 2}") for i, t in enumerate(texts)], "doc_id bigint, text string, label string")  # ids repeat, some are null
+    block = V.Block(analyzer, (1, 3) if analyzer == "word" else (2, 4), min_df=2, sublinear_tf=True)
+    voc = V.fit_vocabulary(d, block)
+    counts = {}
+    for r in V.term_counts(d, block, carry=("label",)).collect():
+        counts[r["doc_id"], r["label"], r["term"]] = r["tf"]
+    idf = {r["term"]: r["idf"] for r in voc.collect()}
+    raw = {k: (1 + math.log(n)) * idf[k[2]] for k, n in counts.items() if k[2] in idf}
+    norm = {}
+    for (i, _, _), x in raw.items():
+        norm[i] = norm.get(i, 0.0) + x * x
+    want = {k: pytest.approx(x / math.sqrt(norm[k[0]]), abs=1e-12) for k, x in raw.items()}
+    ids = sorted(r["term_id"] for r in voc.collect())
+    assert ids == list(range(len(ids)))
+    for sent in (1 << 20, 0):
+        monkeypatch.setattr(V, "SENT_TERMS", sent)
+        monkeypatch.setattr(V, "PART_CHARS", dict.fromkeys(V.PART_CHARS, 150))
+        monkeypatch.setattr(V, "BATCH_CELLS", 40)
+        w = V.transform(d, voc, block, carry=("label",), extra=("term_id",))
+        assert {(r["doc_id"], r["label"], r["term"]): r["w"] for r in w.collect()} == want
+        plan = w._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and ("Join" in plan) == (sent == 0)  # no cell is moved to be normalised
+        few = V.transform(d, voc, block, carry=("label",), best=2)
+        assert few.count() < w.count()
+        top = [sorted(map(tuple, V.top_features(x.drop("label"), 2).drop("weight").collect()), key=repr) for x in (w.drop("term_id"), few)]
+        assert top[0] == top[1]
+        packed = V.transform_vectors(d, voc, block, carry=("label",)).collect()
+        number = {r["term"]: (r["term_id"], r["df"]) for r in voc.collect()}
+        cells = {(r["doc_id"], r["label"], t, n): x for r in packed for t, n, x in zip(r["ts"], r["dfs"], r["ws"], strict=True)}
+        assert cells == {(i, c, *number[t]): x for (i, c, t), x in want.items()}
+
+
+def test_portions_of_texts():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"i": pa.array(range(len(t))), "t": pa.array(t, pa.string())}) for t in (["aaa", "b"], [], ["cccccccc", "", "d", "ee"])]
+    assert [p.column("t").to_pylist() for p in V.portions(batches, 4)] == [["aaa", "b"], ["cccccccc"], ["", "d", "ee"]]
+
+
 def test_blocks_are_normalised_apart(spark):
     d = docs(spark, ["late fee on my card", "late fee dispute"])
     spec = V.FeatureSpec(word=V.Block("word"), char=V.Block("char", (3, 5)))

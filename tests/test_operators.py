@@ -366,6 +366,37 @@ def test_search_moves_vectors_not_pairs(spark):
     assert max(x.count() for x in written) <= 2 * 2 * len(texts)
 
 
+def test_blocks_of_vectors_are_bounded_and_met_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(SIM, "BLOCK_CELLS", 2000)
+    monkeypatch.setattr(SIM, "BLOCK_ROWS", 1000)
+    monkeypatch.setattr(SIM, "HITS", 50)
+    rng = np.random.default_rng(9)
+    dense = np.where(rng.random((120, 80)) < 0.3, rng.random((120, 80)), 0.0)
+    dense[40:80] = np.where(rng.random((40, 80)) < 0.05, 0.0, dense[:40])  # near copies
+    dense[:, 0] += 0.05
+    dense /= np.sqrt((dense ** 2).sum(1, keepdims=True))
+    df = (dense > 0).sum(0)
+    rows = [(f"d{i:03}", bytes([i]), [int(t) for t in np.flatnonzero(v)], [int(df[t]) for t in np.flatnonzero(v)], [float(x) for x in v[v > 0]]) for i, v in enumerate(dense)]
+    packed = spark.createDataFrame(rows, "doc_id string, vec binary, ts array<int>, dfs array<int>, ws array<double>").repartition(3)
+    plans = []
+    met, made = SIM.meet_blocks, []
+
+    def watched(left, right, *more, **named):
+        for side in (left, right):
+            made.append([len(np.frombuffer(r["ts" if "ts" in side.columns else "at"], "<i4")) for r in side.collect()])
+        plans.append(left.crossJoin(right)._jdf.queryExecution().executedPlan().toString())
+        return met(left, right, *more, **named)
+
+    monkeypatch.setattr(SIM, "meet_blocks", watched)
+    scores = dense @ dense.T
+    got = {(r["a"], r["b"]): r["score"] for r in SIM.near_packed_pairs(packed, 0.8, "doc_id").collect()}
+    assert got == {(f"d{i:03}", f"d{j:03}"): pytest.approx(scores[i, j]) for i in range(120) for j in range(i + 1, 120) if scores[i, j] >= 0.8} and len(got) > 20
+    found = SIM.search(packed.withColumnRenamed("doc_id", "qid"), packed, 3, "qid", "doc_id").collect()
+    want = {(i, j, n + 1) for i in range(120) for n, j in enumerate(np.lexsort((np.arange(120), -np.round(scores[i], 9)))[:3].tolist())}
+    assert {(int(r["qid"][1:]), int(r["doc_id"][1:]), r["rank"]) for r in found} == want
+    assert all(len(x) > 1 and max(x) <= 2000 for x in made) and not any("hashpartitioning" in x for x in plans)
+
+
 def test_block_product_against_dense():
     rng = np.random.default_rng(2)
     a, b = (np.where(rng.random((n, 90)) < 0.2, rng.random((n, 90)), 0.0) for n in (70, 50))
